@@ -32,13 +32,20 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int, **stats: Colum
     return prefixed(counted.where(F.col("hot_count") > hot_rows), keys, "hot_")
 
 
+def any_hot(df: DataFrame, keys: Sequence[str], hot_rows: int) -> bool:
+    """Whether some group exceeds ``hot_rows``: one job over the key columns.
+
+    Asking first keeps the plan of ordinary data to a single window.
+    """
+    return not hot_groups(df, keys, hot_rows).isEmpty()
+
+
 def split_hot(
     df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, **stats: Column
 ) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary groups, rows of hot groups with ``hot_count`` and stats).
 
-    When no group is hot the second frame is empty at run time and AQE drops
-    everything built on it.
+    Adds no shuffle of the rows: the hot keys are broadcast.
     """
     hot = F.broadcast(hot_groups(df, keys, hot_rows, **stats))
     on = same_keys(keys, "hot_")

@@ -15,7 +15,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from .hot import HOT_ROWS, join_back, prefixed, same_keys, split_hot
+from .hot import HOT_ROWS, any_hot, join_back, prefixed, same_keys, split_hot
 
 CHUNK_ROWS = 500_000
 COPY_BLOCK = 100_000
@@ -33,6 +33,7 @@ def neighbours(
     nulls_last: bool = False,
     hot_rows: int = HOT_ROWS,
     chunk_rows: int = CHUNK_ROWS,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add columns that look at most ``back`` rows behind and ``ahead`` rows on.
 
@@ -42,14 +43,20 @@ def neighbours(
     chunks of about ``chunk_rows`` rows along ``order[0]``; rows whose
     neighbourhood crosses a chunk edge are computed a second time from the
     chunk edges alone.
+
+    A counting job finds out whether there are hot groups. Where ``df`` is
+    expensive, ``sizes_from`` can name an earlier table with the same groups.
     """
     names = df.columns
     ties = [c for c in names if c not in keys and c not in order]
     arrange = [F.asc_nulls_last(c) if nulls_last else F.asc_nulls_first(c) for c in order] + [F.asc(c) for c in ties]
     lead_col = F.col(order[0])
+    plain = Window.partitionBy(*keys).orderBy(*arrange)
+    if not any_hot(df if sizes_from is None else sizes_from, keys, hot_rows):
+        return df.withColumns({n: f(plain) for n, f in columns.items()})
+
     ordinary, hot = split_hot(df, keys, hot_rows, hot_lo=F.min(lead_col), hot_hi=F.max(lead_col))
 
-    plain = Window.partitionBy(*keys).orderBy(*arrange)
     done = ordinary.withColumns({n: f(plain) for n, f in columns.items()})
 
     edge = max(back, ahead)
@@ -173,10 +180,13 @@ def rank_within(
     at approximate quantiles (any split points give the exact rank) and ranked
     with a two-level scan.
     """
-    ordinary, hot = split_hot(df, keys, hot_rows)
     arrange = F.desc_nulls_last(value) if descending else F.asc_nulls_first(value)
-    by_value = Window.partitionBy(*keys).orderBy(arrange)
-    plain = ordinary.withColumn(name, (F.dense_rank() if dense else F.rank()).over(by_value))
+    plain = (F.dense_rank() if dense else F.rank()).over(Window.partitionBy(*keys).orderBy(arrange))
+    if not any_hot(df, keys, hot_rows):
+        return df.withColumn(name, plain)
+
+    ordinary, hot = split_hot(df, keys, hot_rows)
+    done = ordinary.withColumn(name, plain)
 
     hot = hot.drop("hot_count")
     key = -F.col(value) if descending else F.col(value)
@@ -194,4 +204,4 @@ def rank_within(
     ranks = scanned.select(*keys, F.col("__v").alias("__rank_v"), rank.cast("int").alias(name))
     back = hot.withColumn("__rank_v", key.cast("double"))
     ranked = join_back(back, ranks, [*keys, "__rank_v"], null_safe=True).drop("__rank_v")
-    return plain.unionByName(ranked)
+    return done.unionByName(ranked)

@@ -52,6 +52,7 @@ def rolling_pace(
     value: str = "lap_time_seconds",
     laps: int = ROLLING_LAPS,
     hot_rows: int = HOT_ROWS,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """``race_pace_index``, the mean of the last ``laps`` laps, and the delta to it.
 
@@ -64,7 +65,8 @@ def rolling_pace(
         return F.avg(value).over(w.rowsBetween(1 - laps, Window.currentRow))
 
     rolled = neighbours(
-        df, keys, order, {"race_pace_index": mean}, back=laps - 1, ahead=0, nulls_last=True, hot_rows=hot_rows
+        df, keys, order, {"race_pace_index": mean}, back=laps - 1, ahead=0, nulls_last=True,
+        hot_rows=hot_rows, sizes_from=sizes_from,
     )
     rolled = rolled.withColumn("race_pace_index", F.when(all_known(keys), F.col("race_pace_index")))
     return rolled.withColumn("race_pace_delta", F.col(value) - F.col("race_pace_index"))

@@ -193,11 +193,16 @@ complete AS (
 # --- output --------------------------------------------------------------------
 
 
+def tidy(column: str) -> str:
+    """Six places, off the rounding boundary, without negative zero."""
+    return f"round({column} + 1e-9::DOUBLE, 6) + 0.0"
+
+
 def shown(columns: str) -> str:
     """Select list; a trailing * marks a double, rounded like the Spark side."""
     items = []
     for c in columns.split():
-        items.append(f"round({c[:-1]}, 6) + 0.0 AS {c[:-1]}" if c.endswith("*") else c)
+        items.append(f"{tidy(c[:-1])} AS {c[:-1]}" if c.endswith("*") else c)
     return ", ".join(items)
 
 
@@ -356,7 +361,7 @@ laps_query(
     "impute_median", f"{RAW_LAP} lap_time_seconds* tyre_life* position* air_temp* humidity*", f"({_filled('typed')})", TYPED
 )
 ORACLE["column_medians"] = over_laps(
-    f"SELECT \"column\", round(median, 6) + 0.0 AS median FROM ("
+    f"SELECT \"column\", {tidy('median')} AS median FROM ("
     + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", median({c}) AS median FROM typed" for c in FILLED)
     + ") WHERE median IS NOT NULL",
     TYPED,
@@ -381,7 +386,7 @@ def null_share(columns: list[str], source: str, doubles: set[str], label: str =
         return f"{c} IS NULL OR isnan({c})" if c in doubles else f"{c} IS NULL"
 
     return " UNION ALL ".join(
-        f"SELECT '{c}' AS {label}, round(avg(CASE WHEN {missing(c)} THEN 1.0 ELSE 0.0 END) * 100, 6) + 0.0 AS {value} FROM {source}" for c in columns
+        f"SELECT '{c}' AS {label}, {tidy(f'avg(CASE WHEN {missing(c)} THEN 1.0 ELSE 0.0 END) * 100')} AS {value} FROM {source}" for c in columns
     )
 
 
@@ -448,7 +453,7 @@ ORACLE["per_group_split"] = over_laps(
 # --- analysis pages ------------------------------------------------------------
 
 ORACLE["race_overview"] = over_laps(
-    f"""SELECT season, race_name, winner, winner_team, fastest_driver, round(fastest_lap, 6) + 0.0 AS fastest_lap, total_laps,
+    f"""SELECT season, race_name, winner, winner_team, fastest_driver, {tidy('fastest_lap')} AS fastest_lap, total_laps,
   CAST(coalesce(gained, 0) AS INTEGER) AS total_gains
 FROM (SELECT season, race_name, CAST(max(lap_number) AS INTEGER) AS total_laps FROM laps GROUP BY season, race_name)
 LEFT JOIN (SELECT season, race_name, min(driver) AS winner FROM driver_analytics WHERE final_position = 1 GROUP BY season, race_name) USING (season, race_name)
@@ -466,7 +471,7 @@ ORACLE["driver_comparison"] = over_laps(
 )
 ORACLE["ols_trendline"] = over_laps(
     f"""SELECT {shown(RACE + ' compound driver slope* intercept* r2* laps')} FROM (
-  SELECT season, race_name, compound, driver, regr_slope(lap_time_seconds, tyre_life) AS slope,
+  SELECT season, race_name, compound, driver, nullif(regr_slope(lap_time_seconds, tyre_life), 'NaN'::DOUBLE) AS slope,
     regr_intercept(lap_time_seconds, tyre_life) AS intercept, regr_r2(lap_time_seconds, tyre_life) AS r2, count(*) AS laps
   FROM laps WHERE lap_time_seconds IS NOT NULL AND tyre_life IS NOT NULL GROUP BY season, race_name, compound, driver)"""
 )
@@ -495,7 +500,7 @@ KEYS = "season AS key_season, race_name AS key_race_name, driver AS key_driver,
 ORACLE["ml_features"] = over_laps(
     f"""SELECT {KEYS}, tyre_life + 0.0 AS "TyreLife", compound AS "Compound", lap_number + 0.0 AS "LapNumber", race_name AS "Circuit", driver AS "Driver",
   air_temp + 0.0 AS "AirTemp", track_temp + 0.0 AS "TrackTemp", CAST(rainfall AS DOUBLE) AS "Rainfall",
-  round(coalesce(lap_time_seconds, (SELECT median(lap_time_seconds) FROM laps)), 6) + 0.0 AS "LapTime" FROM laps"""
+  {tidy('coalesce(lap_time_seconds, (SELECT median(lap_time_seconds) FROM laps))')} AS "LapTime" FROM laps"""
 )
 ORACLE["ml_split"] = over_laps(
     f"""SELECT {KEYS}, CASE WHEN ('0x' || substr(md5(concat_ws('|', season, race_name, driver, lap_number, '42')), 1, 8))::BIGINT % 100 < 20
@@ -504,15 +509,15 @@ ORACLE["ml_split"] = over_laps(
 
 # --- other tables --------------------------------------------------------------
 
-ORACLE["star_usage_share"] = """
-SELECT ship_year, l_returnflag, round(n * 100.0::DOUBLE / sum(n) OVER (PARTITION BY ship_year), 6) + 0.0 AS share_pct
+ORACLE["star_usage_share"] = f"""
+SELECT ship_year, l_returnflag, {tidy('n * 100.0::DOUBLE / sum(n) OVER (PARTITION BY ship_year)')} AS share_pct
 FROM (SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year, l_returnflag, count(*) AS n FROM lineitem GROUP BY 1, 2)"""
 ORACLE["star_price_above_best"] = f"""
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, {shown('l_extendedprice* l_quantity* price_delta* quantity_delta*')} FROM (
   SELECT *, l_extendedprice - min(l_extendedprice) OVER o AS price_delta, l_quantity - min(l_quantity) OVER o AS quantity_delta
   FROM lineitem WINDOW o AS (PARTITION BY l_orderkey))"""
-ORACLE["star_customer_rank"] = """
-SELECT c_custkey, c_nationkey, round(c_acctbal, 6) + 0.0 AS c_acctbal,
+ORACLE["star_customer_rank"] = f"""
+SELECT c_custkey, c_nationkey, {tidy('c_acctbal')} AS c_acctbal,
   CAST(dense_rank() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC NULLS LAST) AS INTEGER) AS balance_rank FROM customer"""
 ORACLE["star_rolling_orders"] = f"""
 SELECT o_custkey, o_orderkey, {shown('race_pace_index* race_pace_delta*')} FROM (
@@ -526,7 +531,7 @@ ORACLE["star_null_pct"] = (
 ORACLE["star_duplicates"] = repeated("lineitem", "l_orderkey", "l_linenumber")
 ORACLE["star_invalid_values"] = "SELECT count(*) AS invalid_rows FROM customer WHERE c_acctbal <= 0 OR c_acctbal > 9000"
 ORACLE["star_medians"] = (
-    "SELECT \"column\", round(median, 6) + 0.0 AS median FROM ("
+    f"SELECT \"column\", {tidy('median')} AS median FROM ("
     + " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", median({c}) AS median FROM lineitem" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     )
@@ -534,7 +539,7 @@ ORACLE["star_medians"] = (
 )
 ORACLE["star_trendline"] = f"""
 SELECT {shown('l_suppkey slope* intercept* r2* laps')} FROM (
-  SELECT l_suppkey, regr_slope(l_extendedprice, l_quantity) AS slope, regr_intercept(l_extendedprice, l_quantity) AS intercept,
+  SELECT l_suppkey, nullif(regr_slope(l_extendedprice, l_quantity), 'NaN'::DOUBLE) AS slope, regr_intercept(l_extendedprice, l_quantity) AS intercept,
     regr_r2(l_extendedprice, l_quantity) AS r2, count(*) AS laps
   FROM lineitem WHERE l_extendedprice IS NOT NULL AND l_quantity IS NOT NULL GROUP BY l_suppkey)"""
 ORACLE["star_asof_orders"] = """
