@@ -27,10 +27,23 @@ def nanos_to_timestamp(col: Column) -> Column:
     return F.lit("1970-01-01").cast("timestamp_ntz") + since
 
 
+def epoch_minutes(ts: Column) -> Column:
+    """Minutes since the epoch of a zone-less timestamp, whatever the session zone."""
+    return F.unix_date(F.to_date(ts)).cast("long") * 1440 + F.hour(ts) * 60 + F.minute(ts)
+
+
+def micros_of_minute(ts: Column) -> Column:
+    return (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long")
+
+
 def epoch_micros(ts: Column) -> Column:
-    """Microseconds since the epoch of a zone-less timestamp, whatever the session zone."""
-    minutes = F.unix_date(F.to_date(ts)).cast("long") * 1440 + F.hour(ts) * 60 + F.minute(ts)
-    return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long")
+    return epoch_minutes(ts) * 60_000_000 + micros_of_minute(ts)
+
+
+def time_levels(name: str) -> list[Column]:
+    """Ever finer buckets of a timestamp column: minute, second, then tenths down to a microsecond."""
+    micros = micros_of_minute(F.col(name))
+    return [epoch_minutes(F.col(name)), *[F.floor(micros / 10**power) for power in range(6, -1, -1)]]
 
 
 def consistency_index(std: Column) -> Column:

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .hot import join_back
+from ..functions.scalars import time_levels
+from .hot import HOT_ROWS, join_back
 from .ordered import running
 from .transform import all_known
 
@@ -29,27 +30,31 @@ def asof_join(
     left_time: str,
     right_time: str,
     values: Sequence[str],
-    bucket: Callable[[str], Column],
+    levels: Callable[[str], Sequence[Column]] = time_levels,
+    crowded_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Each left row with the latest right row of its group at or before its time.
 
-    A right row at exactly the left time counts. Left rows with no earlier
-    right row, or with a null key or time, get nulls. ``bucket`` maps a time
-    column to a value that never decreases with it; the last right row of each
-    bucket carries into the following ones, so the size of a group does not
-    matter.
+    A right row at exactly the left time counts; of several right rows at one
+    time the largest by ``values`` does. Left rows with no earlier right row,
+    or with a null key or time, get nulls.
+
+    Only the distinct (keys, time) pairs of both sides are put in order, with
+    ``running`` carrying the last right row from bucket to bucket, so neither
+    the size of a group nor many rows at one time matter. ``levels`` maps a
+    time column to the buckets of ``add_cells``.
     """
-    rows = left.select(
-        *keys, F.col(left_time).alias("__t"), F.lit(1).alias("__side"),
-        F.struct(*left.columns).alias("__left"), F.lit(None).alias("__right"),
-    )
+    known = all_known([*keys, left_time])
+    asked = left.where(known).select(*keys, F.col(left_time).alias("__t"), F.lit(None).alias("__sample"))
     samples = right.where(all_known([*keys, right_time])).select(
-        *keys, F.col(right_time).alias("__t"), F.lit(0).alias("__side"),
-        F.lit(None).alias("__left"), F.struct(*values).alias("__right"),
+        *keys, F.col(right_time).alias("__t"), F.struct(*values).alias("__sample")
+    )
+    moments = asked.unionByName(samples).groupBy(*keys, "__t").agg(F.max("__sample").alias("__sample"))
+    scanned = running(
+        moments, keys, ["__t"], levels("__t"), latest={"__found": F.col("__sample")}, crowded_rows=crowded_rows
     )
-    both = rows.unionByName(samples)
-    scanned = running(both, keys, ["__t", "__side"], bucket("__t"), latest={"__found": F.col("__right")})
-    return scanned.where(F.col("__side") == 1).select("__left.*", *[F.col(f"__found.{v}").alias(v) for v in values])
+    found = scanned.select(*keys, F.col("__t").alias(left_time), *[F.col(f"__found.{v}").alias(v) for v in values])
+    return join_back(left, found, [*keys, left_time])
 
 
 def complete_positions(
@@ -95,7 +100,6 @@ def assemble_laps(
     laps: DataFrame,
     weather: DataFrame,
     results: DataFrame,
-    bucket: Callable[[str], Column],
     weather_values: Sequence[str],
     time: str = "ts",
     session_type: str = "R",
@@ -103,7 +107,7 @@ def assemble_laps(
 ) -> DataFrame:
     """Laps with the weather of their moment, their driver's result and the session type."""
     samples = weather.withColumnRenamed(time, "__sampled")
-    with_weather = asof_join(laps, samples, race_keys, time, "__sampled", weather_values, bucket)
+    with_weather = asof_join(laps, samples, race_keys, time, "__sampled", weather_values)
     complete = complete_positions(rename_results(results, race_keys), laps, race_keys)
     joined = join_back(with_weather, complete, [*race_keys, "driver_number"])
     return joined.withColumn("session_type", F.lit(session_type))

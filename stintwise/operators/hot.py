@@ -54,6 +54,31 @@ def split_hot(
     return ordinary, large
 
 
+def add_cells(
+    df: DataFrame, keys: Sequence[str], levels: Sequence[Column], cell: str = "__cell", crowded_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Add an ordered bucket of each row within its group.
+
+    ``levels`` run from coarse to fine, each non-decreasing along the order of
+    the group inside one bucket of the levels before. A finer level applies
+    only inside buckets with more than ``crowded_rows`` rows, so a burst is
+    divided further while quiet stretches keep their coarse bucket.
+    """
+    parts = ["__level0"]
+    df = df.withColumn("__level0", levels[0])
+    for depth, level in enumerate(levels[1:], start=1):
+        crowded = hot_groups(df, [*keys, *parts], crowded_rows)
+        if crowded.isEmpty():
+            break
+        on = same_keys([*keys, *parts], "hot_")
+        df = df.join(F.broadcast(crowded), on, "left").withColumn(
+            f"__level{depth}", F.when(F.col("hot_count").isNotNull(), level)
+        )
+        df = df.drop("hot_count", *[f"hot_{k}" for k in [*keys, *parts]])
+        parts.append(f"__level{depth}")
+    return df.withColumn(cell, F.struct(*parts)).drop(*parts)
+
+
 def join_back(
     rows: DataFrame, summary: DataFrame, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:

@@ -15,7 +15,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from .hot import HOT_ROWS, any_hot, join_back, prefixed, same_keys, split_hot
+from .hot import HOT_ROWS, add_cells, any_hot, join_back, prefixed, same_keys, split_hot
 
 CHUNK_ROWS = 500_000
 COPY_BLOCK = 100_000
@@ -37,10 +37,10 @@ def neighbours(
 ) -> DataFrame:
     """Add columns that look at most ``back`` rows behind and ``ahead`` rows on.
 
-    ``order[0]`` must be numeric. Ties are broken by the remaining columns, so
-    the result does not depend on how rows arrive; select only what is needed
+    ``order[0]`` must be numeric. Ties are broken by the other columns, so the
+    result does not depend on how rows arrive; select only what is needed
     before calling. Ordinary groups use one window. Hot groups are cut into
-    chunks of about ``chunk_rows`` rows along ``order[0]``; rows whose
+    chunks of about ``chunk_rows`` rows along the order; rows whose
     neighbourhood crosses a chunk edge are computed a second time from the
     chunk edges alone.
 
@@ -49,7 +49,8 @@ def neighbours(
     """
     names = df.columns
     ties = [c for c in names if c not in keys and c not in order]
-    arrange = [F.asc_nulls_last(c) if nulls_last else F.asc_nulls_first(c) for c in order] + [F.asc(c) for c in ties]
+    toward = F.asc_nulls_last if nulls_last else F.asc_nulls_first
+    arrange = [*map(toward, order), F.xxhash64(*ties) if ties else F.lit(0), *map(F.asc, ties)]
     lead_col = F.col(order[0])
     plain = Window.partitionBy(*keys).orderBy(*arrange)
     if not any_hot(df if sizes_from is None else sizes_from, keys, hot_rows):
@@ -71,8 +72,13 @@ def neighbours(
     span = F.col("hot_hi") - F.col("hot_lo") + 1
     width = F.greatest(F.lit(1.0), F.floor(span * chunk_rows / F.col("hot_count")).cast("double"))
     outside = F.lit(2**62 if nulls_last else -1).cast("long")
-    chunk = F.coalesce(F.floor((lead_col - F.col("hot_lo")) / width).cast("long"), outside)
-    pieces = pieces.withColumn("__chunk", chunk).drop("hot_lo", "hot_hi", "hot_count", "__copies")
+    pieces = pieces.withColumn("__range", F.coalesce(F.floor((lead_col - F.col("hot_lo")) / width).cast("long"), outside))
+    pieces = pieces.drop("hot_lo", "hot_hi", "hot_count", "__copies")
+    # Inside a crowded range: by the exact order value, then by the hash that
+    # arranges equal values.
+    tie_slice = F.shiftright(F.xxhash64(*ties), 50) if ties else F.lit(0)
+    levels = [F.col("__range"), *[F.col(c) for c in order], tie_slice]
+    pieces = add_cells(pieces, keys, levels, "__chunk", 2 * chunk_rows).drop("__range")
 
     within = Window.partitionBy(*keys, "__chunk")
     sorted_chunk = within.orderBy(*arrange, "__piece")
@@ -104,23 +110,26 @@ def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    bucket: Column,
+    levels: Sequence[Column],
     position: str | None = None,
     totals: Mapping[str, Column] | None = None,
     previous: Mapping[str, Column] | None = None,
     latest: Mapping[str, Column] | None = None,
+    crowded_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Row number, inclusive running totals, previous values and last known values.
 
-    ``bucket`` must not decrease along ``order`` within a group. Windows run
-    per (keys, bucket); a table with one row per bucket carries counts, sums
-    and last values from bucket to bucket, so no task sees a whole group.
-    ``order`` should identify a row.
+    ``levels`` are the bucket columns of ``add_cells``, coarse to fine along
+    ``order``. Windows run per (keys, bucket); a table with one row per bucket
+    carries counts, sums and last values from bucket to bucket, so no task
+    sees a whole group. ``order`` should identify a row.
     """
     totals, previous, latest = totals or {}, previous or {}, latest or {}
-    rows = df.withColumns({"__bucket": bucket, **{f"__in_{n}": c for n, c in {**totals, **previous, **latest}.items()}})
+    inputs = {f"__in_{n}": c for n, c in {**totals, **previous, **latest}.items()}
+    rows = add_cells(df, keys, levels, crowded_rows=crowded_rows)
+    rows = rows.withColumns(inputs) if inputs else rows
     when = F.struct(*order)
-    cells = [*keys, "__bucket"]
+    cells = [*keys, "__cell"]
 
     per_bucket = rows.groupBy(*cells).agg(
         F.count(F.lit(1)).alias("__rows"),
@@ -128,7 +137,7 @@ def running(
         *[F.max_by(F.col(f"__in_{n}"), when).alias(f"__end_{n}") for n in previous],
         *[F.max_by(F.col(f"__in_{n}"), F.when(F.col(f"__in_{n}").isNotNull(), when)).alias(f"__known_{n}") for n in latest],
     )
-    by_bucket = Window.partitionBy(*keys).orderBy("__bucket")
+    by_bucket = Window.partitionBy(*keys).orderBy("__cell")
     before = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
     carry = per_bucket.select(
         *cells,
@@ -199,7 +208,7 @@ def rank_within(
     below = F.size(F.filter("__cuts", lambda c: c < F.col("__v")))
     bucket = F.when(F.col("__v").isNull(), F.lit(splits + 1 if descending else -1)).otherwise(below)
     placed = placed.withColumn("__cut", bucket).drop("__cuts")
-    scanned = running(placed, keys, ["__v"], F.col("__cut"), position="__nth", totals={"__seen": F.col("__ties")})
+    scanned = running(placed, keys, ["__v"], [F.col("__cut")], position="__nth", totals={"__seen": F.col("__ties")})
     rank = F.col("__nth") if dense else F.col("__seen") - F.col("__ties") + 1
     ranks = scanned.select(*keys, F.col("__v").alias("__rank_v"), rank.cast("int").alias(name))
     back = hot.withColumn("__rank_v", key.cast("double"))

@@ -19,7 +19,6 @@ from ..operators.median import exact_medians
 from ..operators.ordered import rank_within
 from ..plans import gold, model, reports, silver, views
 from ..sources import catalog, sinks
-from ..sources.lap_events import minute_of
 from ..sources.readers import nan_to_null
 from .workspace import Workspace
 
@@ -348,7 +347,7 @@ def union_by_name(ws):
 def asof_weather(ws):
     laps = ws.laps().select(*LAP, "ts")
     weather = ws.weather().withColumnRenamed("ts", "sampled")
-    return assembly.asof_join(laps, weather, RACE, "ts", "sampled", ["sample"], minute_of)
+    return assembly.asof_join(laps, weather, RACE, "ts", "sampled", ["sample"])
 
 
 @query
@@ -360,7 +359,7 @@ def position_fallback(ws):
 @query
 def lap_assembly(ws):
     laps = ws.laps().select(*LAP, "driver_number", "position", "ts")
-    return assembly.assemble_laps(laps, ws.weather(), ws.results(), minute_of, ["sample"])
+    return assembly.assemble_laps(laps, ws.weather(), ws.results(), ["sample"])
 
 
 @query
@@ -583,4 +582,4 @@ def star_asof_orders(ws):
     orders = ws.given("orders").groupBy((F.col("o_custkey") % 100).alias("lane"), "o_orderdate").agg(
         F.max("o_orderkey").alias("latest_order")
     )
-    return assembly.asof_join(items, orders, ["lane"], "l_shipdate", "o_orderdate", ["latest_order"], minute_of)
+    return assembly.asof_join(items, orders, ["lane"], "l_shipdate", "o_orderdate", ["latest_order"])

@@ -2,7 +2,7 @@
 
 Each event becomes one lap of the driver ``user_id % 20``; days decide season
 and race. A driver-race grows with the log, so everything along lap order goes
-through ``running`` with one-minute buckets instead of a plain window.
+through ``running``, in time buckets, instead of a plain window.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import epoch_micros
+from ..functions.scalars import epoch_micros, time_levels
 from ..operators.hot import join_back
 from ..operators.ordered import running
 
@@ -18,11 +18,6 @@ DRIVER_RACE = ["season", "race_name", "driver"]
 COMPOUNDS = ["SOFT", "MEDIUM", "HARD"]
 
 
-def minute_of(ts: str) -> Column:
-    """Minutes since the epoch of a zone-less timestamp; never decreases with it."""
-    return F.unix_date(F.to_date(ts)).cast("long") * 1440 + F.hour(ts) * 60 + F.minute(ts)
-
-
 def _races(events: DataFrame) -> DataFrame:
     day = F.dayofmonth(F.to_date("ts"))
     dn = (F.col("user_id") % 20).cast("int")
@@ -50,7 +45,7 @@ def laps_from_events(events: DataFrame) -> DataFrame:
     )
     pit = F.col("pit_in_time_seconds")
     laps = running(
-        base, DRIVER_RACE, ["ts", "event_id"], minute_of("ts"),
+        base, DRIVER_RACE, ["ts", "event_id"], [*time_levels("ts"), F.floor(F.col("event_id") / 1000)],
         position="lap_number",
         totals={"cum_cents": F.col("cents"), "entries": pit.isNotNull().cast("int")},
         previous={"pit_out_time_seconds": pit},
