@@ -49,7 +49,7 @@ def stint_summary(
 
 def stint_features(df: DataFrame, keys: Sequence[str] = STINT_KEYS, **options) -> DataFrame:
     """Stint length and wear rate on every lap, with one aggregate and one join."""
-    return join_back(df, stint_summary(df, keys, **options), keys)
+    return join_back(df, stint_summary(df, keys, **options), keys, sizes_from=df)
 
 
 def trendlines(df: DataFrame, keys: Sequence[str], x: str = "tyre_life", y: str = "lap_time_seconds") -> DataFrame:

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 """Groups above this many rows are not handed to a single task."""
 
+BROADCAST_GROUPS = 100_000
+"""Summaries of up to this many groups are broadcast."""
+
 
 def same_keys(keys: Sequence[str], prefix: str) -> Column:
     """Null-safe equality of each key with ``<prefix><key>``, a hash-join condition."""
@@ -79,15 +82,35 @@ def add_cells(
     return df.withColumn(cell, F.struct(*parts)).drop(*parts)
 
 
+def few_groups(df: DataFrame, keys: Sequence[str], limit: int = BROADCAST_GROUPS) -> bool:
+    """Whether the keys take about ``limit`` values at most.
+
+    A sketch over the key columns: one narrow scan, nothing shuffled but the
+    sketches.
+    """
+    return df.agg(F.approx_count_distinct(F.struct(*keys))).first()[0] <= limit
+
+
 def join_back(
-    rows: DataFrame, summary: DataFrame, keys: Sequence[str], null_safe: bool = False
+    rows: DataFrame,
+    summary: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool = False,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of a per-group summary onto its rows.
 
-    No hint: AQE broadcasts the summary when its measured size allows and
-    otherwise splits a skewed group on the row side of the sort-merge join.
+    ``sizes_from`` names a table whose groups are counted first: few groups
+    are broadcast and the rows stay where they are. Otherwise both sides are
+    shuffled for the join. The null-safe condition keeps the join from leaning
+    on the partitioning of the aggregate below it, which AQE needs to be able
+    to split a skewed group on the row side.
+
     Rows with a null key get nulls unless ``null_safe``.
     """
     if not null_safe:
-        return rows.join(summary, list(keys), "left")
-    return rows.join(prefixed(summary, keys, "__s_"), same_keys(keys, "__s_"), "left").drop(*[f"__s_{k}" for k in keys])
+        summary = summary.dropna(subset=list(keys))
+    if sizes_from is not None and few_groups(sizes_from, keys):
+        summary = F.broadcast(summary)
+    side = prefixed(summary, keys, "__s_")
+    return rows.join(side, same_keys(keys, "__s_"), "left").drop(*[f"__s_{k}" for k in keys])

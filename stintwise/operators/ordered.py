@@ -60,7 +60,8 @@ def neighbours(
 
     done = ordinary.withColumns({n: f(plain) for n, f in columns.items()})
 
-    edge = max(back, ahead)
+    # A row within reach of an edge still looks the other way as well.
+    edge = back + ahead
     # Identical rows fold into one with a count before anything is shuffled
     # whole; only the copies near the ends of such a run have distinct results.
     folded = hot.groupBy(*hot.columns).agg(F.count(F.lit(1)).alias("__copies"))

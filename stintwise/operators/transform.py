@@ -26,14 +26,16 @@ def all_known(columns: Sequence[str]) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in columns])
 
 
-def delta_to_best(df: DataFrame, keys: Sequence[str], deltas: dict[str, str]) -> DataFrame:
+def delta_to_best(
+    df: DataFrame, keys: Sequence[str], deltas: dict[str, str], sizes_from: DataFrame | None = None
+) -> DataFrame:
     """Each value minus the smallest of its group.
 
     Minima combine map-side and are joined back, so a group of any size never
     meets in one task. Rows with a null key get null.
     """
     best = df.groupBy(*keys).agg(*[F.min(source).alias(f"__best_{name}") for name, source in deltas.items()])
-    joined = join_back(df, best, keys)
+    joined = join_back(df, best, keys, sizes_from=df if sizes_from is None else sizes_from)
     return joined.withColumns({n: F.col(s) - F.col(f"__best_{n}") for n, s in deltas.items()}).drop(
         *[f"__best_{n}" for n in deltas]
     )
@@ -73,21 +75,27 @@ def rolling_pace(
 
 
 def performance_score(
-    df: DataFrame, race_keys: Sequence[str] = RACE_KEYS, driver: str = "driver", value: str = "lap_time_seconds"
+    df: DataFrame,
+    race_keys: Sequence[str] = RACE_KEYS,
+    driver: str = "driver",
+    value: str = "lap_time_seconds",
+    measured_on: DataFrame | None = None,
 ) -> DataFrame:
     """Race mean over driver mean, in percent; null where the driver mean is zero.
 
     Both means come from per-driver sums and counts: the race level rolls up
-    the driver level, and one join brings the score to the laps.
+    the driver level, and one join brings the score to the laps. Where ``df``
+    is expensive, ``measured_on`` can name an earlier table with the same rows.
     """
-    measured = df.where(all_known([*race_keys, driver]) & F.col(value).isNotNull())
+    source = df if measured_on is None else measured_on
+    measured = source.where(all_known([*race_keys, driver]) & F.col(value).isNotNull())
     per_driver = measured.groupBy(*race_keys, driver).agg(F.sum(value).alias("__sum"), F.count(value).alias("__n"))
     # A lap without a driver still counts for the race mean.
-    per_race = df.groupBy(*race_keys).agg(F.avg(value).alias("__race_mean"))
+    per_race = source.groupBy(*race_keys).agg(F.avg(value).alias("__race_mean"))
     means = join_back(per_driver, per_race, race_keys)
     score = F.try_divide(F.col("__race_mean"), F.col("__sum") / F.col("__n")) * 100
     scores = means.select(*race_keys, driver, score.alias("circuit_performance_score"))
-    return join_back(df, scores, [*race_keys, driver])
+    return join_back(df, scores, [*race_keys, driver], sizes_from=source)
 
 
 def share_of_group(df: DataFrame, group: Sequence[str], part: Sequence[str], name: str) -> DataFrame:

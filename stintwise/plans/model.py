@@ -75,7 +75,9 @@ def fit(train: DataFrame, trees: int = TREES, rate: float = LEARNING_RATE, depth
     boost = GBTRegressor(
         featuresCol="inputs", labelCol=TARGET, maxIter=trees, stepSize=rate, maxDepth=depth, maxBins=128, seed=seed
     )
-    prepared = train.where(F.col(TARGET).isNotNull())
+    # Boosting runs a few jobs per tree and level over the same rows, so they
+    # are packed into partitions of the advisory size first.
+    prepared = train.where(F.col(TARGET).isNotNull()).hint("rebalance")
     tail = Pipeline(stages=[encode, collect, boost]).fit(indexer.transform(prepared))
     return PipelineModel(stages=[indexer, *tail.stages])
 

@@ -33,8 +33,8 @@ def transform_laps(
     ``race_keys`` decide whether two seasons of one race mix; the default
     leaves the season out and only breaks ties of lap order by it.
     """
-    options.setdefault("sizes_from", laps)
-    return performance_score(rolling_pace(sector_deltas(laps, race_keys), race_keys, order, **options), race_keys)
+    paced = rolling_pace(sector_deltas(laps, race_keys), race_keys, order, sizes_from=laps, **options)
+    return performance_score(paced, race_keys, measured_on=laps)
 
 
 def engineer_laps(laps: DataFrame, race_keys: Sequence[str] = RACE_KEYS) -> DataFrame:

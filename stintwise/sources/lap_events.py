@@ -65,7 +65,7 @@ def laps_from_events(events: DataFrame) -> DataFrame:
         F.min_by("position", "lap_number").alias("grid_position"),
         F.max_by("position", "lap_number").alias("final_position"),
     )
-    laps = join_back(laps, ends, DRIVER_RACE)
+    laps = join_back(laps, ends, DRIVER_RACE, sizes_from=base)
     lap_time, picked = F.col("lap_time_seconds"), (F.col("stint") + F.col("dn")) % 3
     return laps.select(
         "season", "race_name", "driver", "lap_number", "event_id", "ts", "cum_cents",
