@@ -79,7 +79,7 @@ def add_cells(
         )
         df = df.drop("hot_count", *[f"hot_{k}" for k in [*keys, *parts]])
         parts.append(f"__level{depth}")
-    return df.withColumn(cell, F.struct(*parts)).drop(*parts)
+    return df.withColumn(cell, F.struct(*parts) if len(parts) > 1 else F.col(parts[0])).drop(*parts)
 
 
 def few_groups(df: DataFrame, keys: Sequence[str], limit: int = BROADCAST_GROUPS) -> bool:

@@ -48,7 +48,10 @@ class Workspace:
         return self.spark.read.schema(_written[path]).parquet(path)
 
     def laps(self) -> DataFrame:
-        return self._table("laps", lambda: source.laps_from_events(self.given("events")))
+        def stage(numbered: DataFrame) -> DataFrame:
+            return self._table("numbered", lambda: numbered)
+
+        return self._table("laps", lambda: source.laps_from_events(self.given("events"), stage))
 
     def engineered(self) -> DataFrame:
         return self._table("engineered", lambda: silver.engineer_laps(self.laps()))

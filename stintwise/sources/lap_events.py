@@ -7,6 +7,8 @@ through ``running``, in time buckets, instead of a plain window.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +33,12 @@ def _races(events: DataFrame) -> DataFrame:
     )
 
 
-def laps_from_events(events: DataFrame) -> DataFrame:
+def laps_from_events(events: DataFrame, stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """The lap table.
+
+    Three later steps read the numbered laps; ``stage`` may write them and
+    return the written table, so that numbering runs once.
+    """
     error = F.col("event_type") == "error"
     ident = F.col("event_id")
     base = _races(events).select(
@@ -56,6 +63,7 @@ def laps_from_events(events: DataFrame) -> DataFrame:
             "stint": (1 + F.col("entries") - pit.isNotNull().cast("int")).cast("int"),
         }
     )
+    laps = stage(laps)
     starts = laps.groupBy(*DRIVER_RACE, "stint").agg(F.min("lap_number").alias("stint_start"))
     laps = join_back(laps, starts, [*DRIVER_RACE, "stint"])
     # One row per driver and lap, so at most 20 rows per group.
