@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import time_levels
-from .hot import HOT_ROWS, join_back
+from .hot import HOT_ROWS, all_known, join_back
 from .ordered import running
-from .transform import all_known
 
 RACE = ("season", "race_name")
 

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.linear import first_of_three
-from .hot import join_back
-from .transform import all_known
+from .hot import all_known, join_back
 
 STINT_KEYS = ("race_name", "driver", "stint")
 WEAR_INPUTS = ("tyre_life", "air_temp", "track_temp")

@@ -16,6 +16,10 @@ BROADCAST_GROUPS = 100_000
 """Summaries of up to this many groups are broadcast."""
 
 
+def all_known(columns: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(c).isNotNull() for c in columns])
+
+
 def same_keys(keys: Sequence[str], prefix: str) -> Column:
     """Null-safe equality of each key with ``<prefix><key>``, a hash-join condition."""
     return reduce(and_, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
@@ -109,7 +113,7 @@ def join_back(
     Rows with a null key get nulls unless ``null_safe``.
     """
     if not null_safe:
-        summary = summary.dropna(subset=list(keys))
+        summary = summary.where(all_known(keys))
     if sizes_from is not None and few_groups(sizes_from, keys):
         summary = F.broadcast(summary)
     side = prefixed(summary, keys, "__s_")

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import share_pct
-from .hot import HOT_ROWS, join_back
+from .hot import HOT_ROWS, all_known, join_back
 from .ordered import neighbours
 
 ROLLING_LAPS = 5
@@ -22,10 +20,6 @@ SECTOR_DELTAS = {
 }
 
 
-def all_known(columns: Sequence[str]) -> Column:
-    return reduce(and_, [F.col(c).isNotNull() for c in columns])
-
-
 def delta_to_best(
     df: DataFrame, keys: Sequence[str], deltas: dict[str, str], sizes_from: DataFrame | None = None
 ) -> DataFrame:

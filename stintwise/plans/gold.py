@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import consistency_index, is_pit_free, strategy_type
-from ..operators.hot import HOT_ROWS, join_back
+from ..operators.hot import HOT_ROWS, all_known, join_back
 from ..operators.ordered import neighbours, rank_within
-from ..operators.transform import all_known, share_of_group
+from ..operators.transform import share_of_group
 
 RACE = ("season", "race_name")
 DRIVER_RACE = ("season", "race_name", "driver")
