@@ -41,9 +41,9 @@ def epoch_micros(ts: Column) -> Column:
 
 
 def time_levels(name: str) -> list[Column]:
-    """Ever finer buckets of a timestamp column: minute, second, then tenths down to a microsecond."""
-    micros = micros_of_minute(F.col(name))
-    return [epoch_minutes(F.col(name)), *[F.floor(micros / 10**power) for power in range(6, -1, -1)]]
+    """Ever finer buckets of a timestamp column: day, hour, minute, second, then tenths down to a microsecond."""
+    micros, minutes = micros_of_minute(F.col(name)), epoch_minutes(F.col(name))
+    return [F.floor(minutes / 1440), F.floor(minutes / 60), minutes, *[F.floor(micros / 10**power) for power in range(6, -1, -1)]]
 
 
 def consistency_index(std: Column) -> Column:

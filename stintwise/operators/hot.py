@@ -63,19 +63,20 @@ def split_hot(
 
 def add_cells(
     df: DataFrame, keys: Sequence[str], levels: Sequence[Column], cell: str = "__cell", crowded_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Add an ordered bucket of each row within its group.
+) -> DataFrame | None:
+    """Add an ordered bucket of each row within its group; None if no group needs any.
 
     ``levels`` run from coarse to fine, each non-decreasing along the order of
-    the group inside one bucket of the levels before. A finer level applies
-    only inside buckets with more than ``crowded_rows`` rows, so a burst is
-    divided further while quiet stretches keep their coarse bucket.
+    the group inside one bucket of the levels before. A level applies only
+    inside groups, then buckets, with more than ``crowded_rows`` rows: a burst
+    is divided further while ordinary groups stay whole.
     """
-    parts = ["__level0"]
-    df = df.withColumn("__level0", levels[0])
-    for depth, level in enumerate(levels[1:], start=1):
-        crowded = hot_groups(df, [*keys, *parts], crowded_rows)
+    parts: list[str] = []
+    for depth, level in enumerate(levels):
+        # At most rows / crowded_rows buckets, kept for the plan built on them.
+        crowded = hot_groups(df, [*keys, *parts], crowded_rows).persist()
         if crowded.isEmpty():
+            crowded.unpersist()
             break
         on = same_keys([*keys, *parts], "hot_")
         df = df.join(F.broadcast(crowded), on, "left").withColumn(
@@ -83,7 +84,7 @@ def add_cells(
         )
         df = df.drop("hot_count", *[f"hot_{k}" for k in [*keys, *parts]])
         parts.append(f"__level{depth}")
-    return df.withColumn(cell, F.struct(*parts) if len(parts) > 1 else F.col(parts[0])).drop(*parts)
+    return df.withColumn(cell, F.struct(*parts)).drop(*parts) if parts else None
 
 
 def few_groups(df: DataFrame, keys: Sequence[str], limit: int = BROADCAST_GROUPS) -> bool:

@@ -79,7 +79,8 @@ def neighbours(
     # arranges equal values.
     tie_slice = F.shiftright(F.xxhash64(*ties), 50) if ties else F.lit(0)
     levels = [F.col("__range"), *[F.col(c) for c in order], tie_slice]
-    pieces = add_cells(pieces, keys, levels, "__chunk", 2 * chunk_rows).drop("__range")
+    chunked = add_cells(pieces, keys, levels, "__chunk", chunk_rows)
+    pieces = (pieces.withColumn("__chunk", F.lit(0)) if chunked is None else chunked).drop("__range")
 
     within = Window.partitionBy(*keys, "__chunk")
     sorted_chunk = within.orderBy(*arrange, "__piece")
@@ -120,15 +121,28 @@ def running(
 ) -> DataFrame:
     """Row number, inclusive running totals, previous values and last known values.
 
-    ``levels`` are the bucket columns of ``add_cells``, coarse to fine along
-    ``order``. Windows run per (keys, bucket); a table with one row per bucket
-    carries counts, sums and last values from bucket to bucket, so no task
-    sees a whole group. ``order`` should identify a row.
+    ``order`` should identify a row. ``levels`` are the bucket columns of
+    ``add_cells``, coarse to fine along ``order``. Where groups are too large,
+    windows run per (keys, bucket), and a table with one row per bucket
+    carries counts, sums and last values from bucket to bucket: no task sees a
+    whole group and the rows are shuffled once. Otherwise it is one window.
     """
     totals, previous, latest = totals or {}, previous or {}, latest or {}
-    inputs = {f"__in_{n}": c for n, c in {**totals, **previous, **latest}.items()}
+
+    def upto_here(window: WindowSpec, step: Column, source: Callable[[str], Column]) -> dict[str, Column]:
+        upto = window.rowsBetween(Window.unboundedPreceding, 0)
+        added = {position: F.sum(step).over(upto)} if position else {}
+        added.update({n: F.sum(source(n)).over(upto) for n in totals})
+        added.update({n: F.lag(source(n)).over(window) for n in previous})
+        added.update({n: F.last(source(n), ignorenulls=True).over(upto) for n in latest})
+        return added
+
+    inputs = {**totals, **previous, **latest}
     rows = add_cells(df, keys, levels, crowded_rows=crowded_rows)
-    rows = rows.withColumns(inputs) if inputs else rows
+    if rows is None:
+        return df.withColumns(upto_here(Window.partitionBy(*keys).orderBy(*order), F.lit(1), inputs.__getitem__))
+
+    rows = rows.withColumns({f"__in_{n}": c for n, c in inputs.items()}) if inputs else rows
     when = F.struct(*order)
     cells = [*keys, "__cell"]
 
@@ -140,37 +154,21 @@ def running(
     )
     by_bucket = Window.partitionBy(*keys).orderBy("__cell")
     before = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select(
+    # One opening row per bucket brings in what the buckets before it hold, so
+    # the windows inside a bucket continue from there without a join.
+    opening = per_bucket.select(
         *cells,
-        F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__rows_before"),
-        *[F.sum(f"__sum_{n}").over(before).alias(f"__sum_{n}") for n in totals],
-        *[F.lag(f"__end_{n}").over(by_bucket).alias(f"__end_{n}") for n in previous],
-        *[F.last(f"__known_{n}", ignorenulls=True).over(before).alias(f"__known_{n}") for n in latest],
+        F.lit(0).alias("__kind"),
+        F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__step"),
+        *[F.sum(f"__sum_{n}").over(before).alias(f"__in_{n}") for n in totals],
+        *[F.lag(f"__end_{n}").over(by_bucket).alias(f"__in_{n}") for n in previous],
+        *[F.last(f"__known_{n}", ignorenulls=True).over(before).alias(f"__in_{n}") for n in latest],
     )
-
-    inside = Window.partitionBy(*cells).orderBy(*order)
-    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    local = rows.withColumns(
-        {
-            "__rn": F.row_number().over(inside),
-            **{f"__run_{n}": F.sum(f"__in_{n}").over(upto) for n in totals},
-            **{f"__lag_{n}": F.lag(f"__in_{n}").over(inside) for n in previous},
-            **{f"__last_{n}": F.last(f"__in_{n}", ignorenulls=True).over(upto) for n in latest},
-        }
-    )
-    joined = join_back(local, carry, cells, null_safe=True)
-    added = {}
-    if position:
-        added[position] = F.col("__rows_before") + F.col("__rn")
-    for n in totals:
-        here, earlier = F.col(f"__run_{n}"), F.col(f"__sum_{n}")
-        added[n] = F.when(here.isNull(), earlier).otherwise(here + F.coalesce(earlier, F.lit(0)))
-    for n in previous:
-        added[n] = F.when(F.col("__rn") == 1, F.col(f"__end_{n}")).otherwise(F.col(f"__lag_{n}"))
-    for n in latest:
-        added[n] = F.coalesce(f"__last_{n}", f"__known_{n}")
-    keep = [c for c in df.columns if c not in added]
-    return joined.select(*keep, *[c.alias(n) for n, c in added.items()])
+    marked = rows.withColumns({"__kind": F.lit(1), "__step": F.lit(1)})
+    inside = Window.partitionBy(*cells).orderBy("__kind", *order)
+    added = upto_here(inside, F.col("__step"), lambda n: F.col(f"__in_{n}"))
+    solved = marked.unionByName(opening, allowMissingColumns=True).withColumns(added).where(F.col("__kind") == 1)
+    return solved.select(*[c for c in df.columns if c not in added], *added)
 
 
 def rank_within(
@@ -209,7 +207,10 @@ def rank_within(
     below = F.size(F.filter("__cuts", lambda c: c < F.col("__v")))
     bucket = F.when(F.col("__v").isNull(), F.lit(splits + 1 if descending else -1)).otherwise(below)
     placed = placed.withColumn("__cut", bucket).drop("__cuts")
-    scanned = running(placed, keys, ["__v"], [F.col("__cut")], position="__nth", totals={"__seen": F.col("__ties")})
+    scanned = running(
+        placed, keys, ["__cut", "__v"], [F.col("__cut")],
+        position="__nth", totals={"__seen": F.col("__ties")}, crowded_rows=hot_rows,
+    )
     rank = F.col("__nth") if dense else F.col("__seen") - F.col("__ties") + 1
     ranks = scanned.select(*keys, F.col("__v").alias("__rank_v"), rank.cast("int").alias(name))
     back = hot.withColumn("__rank_v", key.cast("double"))
