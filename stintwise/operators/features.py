@@ -46,9 +46,16 @@ def stint_summary(
     )
 
 
-def stint_features(df: DataFrame, keys: Sequence[str] = STINT_KEYS, **options) -> DataFrame:
-    """Stint length and wear rate on every lap, with one aggregate and one join."""
-    return join_back(df, stint_summary(df, keys, **options), keys, sizes_from=df)
+def stint_features(
+    df: DataFrame, keys: Sequence[str] = STINT_KEYS, measured_on: DataFrame | None = None, **options
+) -> DataFrame:
+    """Stint length and wear rate on every lap, with one aggregate and one join.
+
+    Where ``df`` is expensive, ``measured_on`` can name an earlier table with
+    the same rows.
+    """
+    source = df if measured_on is None else measured_on
+    return join_back(df, stint_summary(source, keys, **options), keys, sizes_from=source)
 
 
 def trendlines(df: DataFrame, keys: Sequence[str], x: str = "tyre_life", y: str = "lap_time_seconds") -> DataFrame:

@@ -60,6 +60,17 @@ def neighbours(
 
     done = ordinary.withColumns({n: f(plain) for n, f in columns.items()})
 
+    span = F.col("hot_hi") - F.col("hot_lo") + 1
+    width = F.greatest(F.lit(1.0), F.floor(span * chunk_rows / F.col("hot_count")).cast("double"))
+    outside = F.lit(2**62 if nulls_last else -1).cast("long")
+    hot = hot.withColumn("__range", F.coalesce(F.floor((lead_col - F.col("hot_lo")) / width).cast("long"), outside))
+    hot = hot.drop("hot_lo", "hot_hi", "hot_count")
+    # Inside a crowded range: by the exact order value, then by the hash that
+    # arranges equal values.
+    tie_slice = F.shiftright(F.xxhash64(*ties), 50) if ties else F.lit(0)
+    chunked = add_cells(hot, keys, [F.col("__range"), *map(F.col, order), tie_slice], "__chunk", chunk_rows)
+    hot = (hot.withColumn("__chunk", F.lit(0)) if chunked is None else chunked).drop("__range")
+
     # A row within reach of an edge still looks the other way as well.
     edge = back + ahead
     # Identical rows fold into one with a count before anything is shuffled
@@ -69,18 +80,7 @@ def neighbours(
     pieces = pieces.withColumn(
         "__weight",
         F.when((F.col("__copies") > 2 * edge) & (F.col("__piece") == edge + 1), F.col("__copies") - 2 * edge).otherwise(1),
-    )
-    span = F.col("hot_hi") - F.col("hot_lo") + 1
-    width = F.greatest(F.lit(1.0), F.floor(span * chunk_rows / F.col("hot_count")).cast("double"))
-    outside = F.lit(2**62 if nulls_last else -1).cast("long")
-    pieces = pieces.withColumn("__range", F.coalesce(F.floor((lead_col - F.col("hot_lo")) / width).cast("long"), outside))
-    pieces = pieces.drop("hot_lo", "hot_hi", "hot_count", "__copies")
-    # Inside a crowded range: by the exact order value, then by the hash that
-    # arranges equal values.
-    tie_slice = F.shiftright(F.xxhash64(*ties), 50) if ties else F.lit(0)
-    levels = [F.col("__range"), *[F.col(c) for c in order], tie_slice]
-    chunked = add_cells(pieces, keys, levels, "__chunk", chunk_rows)
-    pieces = (pieces.withColumn("__chunk", F.lit(0)) if chunked is None else chunked).drop("__range")
+    ).drop("__copies")
 
     within = Window.partitionBy(*keys, "__chunk")
     sorted_chunk = within.orderBy(*arrange, "__piece")

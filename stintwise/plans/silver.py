@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -37,6 +37,24 @@ def transform_laps(
     return performance_score(paced, race_keys, measured_on=laps)
 
 
-def engineer_laps(laps: DataFrame, race_keys: Sequence[str] = RACE_KEYS) -> DataFrame:
+def engineer_laps(
+    laps: DataFrame, race_keys: Sequence[str] = RACE_KEYS, measured_on: DataFrame | None = None
+) -> DataFrame:
     """Position change, stint length and wear rate on every lap."""
-    return stint_features(position_change(laps), [*race_keys, "driver", "stint"])
+    return stint_features(position_change(laps), [*race_keys, "driver", "stint"], measured_on)
+
+
+def silver_laps(
+    raw: DataFrame,
+    overrides: DataFrame | None = None,
+    race_keys: Sequence[str] = RACE_KEYS,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+    **options,
+) -> DataFrame:
+    """Raw to engineered laps.
+
+    The measures all read the cleaned laps, so ``stage`` may write those and
+    return the written table.
+    """
+    cleaned = stage(clean_laps(raw, overrides))
+    return engineer_laps(transform_laps(cleaned, race_keys, **options), race_keys, measured_on=cleaned)

@@ -284,18 +284,16 @@ CLEANED = [
 ]
 
 
-def _cleaned(ws):
-    return silver.clean_laps(nan_to_null(ws.raw()), ws.overrides())
-
-
 @query
 def clean_laps(ws):
-    return _cleaned(ws).select(CLEANED)
+    return silver.clean_laps(nan_to_null(ws.raw()), ws.overrides()).select(CLEANED)
 
 
 @query
 def silver_pipeline(ws):
-    laps = silver.engineer_laps(silver.transform_laps(_cleaned(ws).drop("lap_start_date"), order=("lap_number", "season", "driver_number")))
+    laps = silver.silver_laps(
+        nan_to_null(ws.raw()), ws.overrides(), stage=ws.cleaned, order=("lap_number", "season", "driver_number")
+    )
     return laps.select(
         "season", "race_name", "driver_number", "lap_number", "position_change", "stint_length",
         "sector1_delta", "circuit_performance_score",

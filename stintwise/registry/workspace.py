@@ -56,6 +56,9 @@ class Workspace:
     def engineered(self) -> DataFrame:
         return self._table("engineered", lambda: silver.engineer_laps(self.laps()))
 
+    def cleaned(self, laps: DataFrame) -> DataFrame:
+        return self._table("cleaned", lambda: laps)
+
     def gold(self, table: str) -> DataFrame:
         build = getattr(gold, table)
         return self._table(table, lambda: as_gold(build(self.engineered()), table))
