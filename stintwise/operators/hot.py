@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
+HOT_ROWS = 10_000_000
 """Groups above this many rows are not handed to a single task."""
 
 BROADCAST_GROUPS = 100_000

@@ -11,13 +11,14 @@ A plain window sends each group to one task. Three shapes of work avoid that:
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .hot import HOT_ROWS, add_cells, any_hot, join_back, prefixed, same_keys, split_hot
 
-CHUNK_ROWS = 500_000
+CHUNK_ROWS = 2_000_000
 COPY_BLOCK = 100_000
 
 WindowFn = Callable[[WindowSpec], Column]
@@ -74,13 +75,12 @@ def neighbours(
     # A row within reach of an edge still looks the other way as well.
     edge = back + ahead
     # Identical rows fold into one with a count before anything is shuffled
-    # whole; only the copies near the ends of such a run have distinct results.
+    # whole. Of a long run only the copies near its ends see other rows, so
+    # that many stay in the sequence and the rest follows from one of them.
+    run = 2 * edge + 1
     folded = hot.groupBy(*hot.columns).agg(F.count(F.lit(1)).alias("__copies"))
-    pieces = folded.withColumn("__piece", F.explode(F.sequence(F.lit(1), F.least("__copies", F.lit(2 * edge + 1)).cast("int"))))
-    pieces = pieces.withColumn(
-        "__weight",
-        F.when((F.col("__copies") > 2 * edge) & (F.col("__piece") == edge + 1), F.col("__copies") - 2 * edge).otherwise(1),
-    ).drop("__copies")
+    kept = F.sequence(F.lit(1), F.least("__copies", F.lit(run)).cast("int"))
+    pieces = folded.withColumn("__piece", F.explode(kept)).drop("__copies")
 
     within = Window.partitionBy(*keys, "__chunk")
     sorted_chunk = within.orderBy(*arrange, "__piece")
@@ -90,22 +90,23 @@ def neighbours(
     inner = sized.withColumns({n: f(sorted_chunk) for n, f in columns.items()}).where(~crosses)
     across = Window.partitionBy(*keys).orderBy(*arrange, "__piece")
     rim = sized.where(near_edge).withColumns({n: f(across) for n, f in columns.items()}).where(crosses)
-    wanted = [*names, *columns, "__weight"]
-    solved = _expand_copies(inner.select(*wanted).unionByName(rim.select(*wanted)), keys)
-    return done.unionByName(solved)
-
-
-def _expand_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Repeat each row ``__weight`` times, spreading long runs over tasks."""
-    single = df.where(F.col("__weight") == 1).drop("__weight")
-    many = (
-        df.where(F.col("__weight") > 1)
-        .withColumn("__block", F.explode(F.expr(f"sequence(0L, (__weight - 1) div {COPY_BLOCK})")))
-        .repartition(*keys, "__block")
-        .withColumn("__copy", F.explode(F.expr(f"sequence(1L, least({COPY_BLOCK}L, __weight - __block * {COPY_BLOCK}))")))
-        .drop("__weight", "__block", "__copy")
-    )
-    return single.unionByName(many)
+
+    long_runs = folded.where(F.col("__copies") > run).withColumn("__piece", F.explode(kept))
+    alike = Window.partitionBy(*hot.columns).orderBy("__piece")
+    middle = long_runs.withColumns({n: f(alike) for n, f in columns.items()}).where(F.col("__piece") == edge + 1)
+    rest = _repeat(middle.withColumn("__copies", F.col("__copies") - run), "__copies")
+
+    wanted = [*names, *columns]
+    parts = [done, inner.select(wanted), rim.select(wanted), rest.select(wanted)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _repeat(df: DataFrame, times: str) -> DataFrame:
+    """Each row ``times`` times, in blocks that spread a long run over tasks."""
+    blocks = F.expr(f"sequence(0L, ({times} - 1) div {COPY_BLOCK})")
+    copies = F.expr(f"sequence(1L, least({COPY_BLOCK}L, {times} - __block * {COPY_BLOCK}))")
+    spread = df.withColumn("__block", F.explode(blocks)).repartition(*df.columns, "__block")
+    return spread.withColumn("__copy", F.explode(copies))
 
 
 def running(
