@@ -43,7 +43,7 @@ def exact_dedup(docs: DataFrame, first_digit: int = 64, widening: int = 16) -> D
             .withColumn("next", F.monotonically_increasing_id()),
             "radix-groups",
         )
-        joined = rows.join(groups, keys, "left")
+        joined = rows.join(groups.hint("merge"), keys, "left")  # the groups grow with the table: no size to broadcast by
         own = F.struct("doc_id", "row")
         undecided = (F.col("size") > 1) & ~F.col("ended")
         out = joined.select(
