@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -20,13 +21,27 @@ from pyspark.sql import functions as F
 
 from .common import small_batches, staged, texts_of
 
-# A chunk ends at white space of the tokenizer, or between a letter and a full stop or comma: no token spans either.
-CHUNK = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+(?![^ \t-\r.,])|[^ \t-\r]+")
+# A chunk is a run of letters up to white space or a punctuation mark, or else all up to white space: no token spans two.
+LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+CHUNK = re.compile(LETTERS + r"(?![^ \t-\r!-/:-@\[-`{-~])|[^ \t-\r]+")
+WORD = re.compile(LETTERS)
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
+def byte_letters() -> dict[int, str]:
+    """Letters to the characters that stand for their UTF-8 bytes in a byte-level vocabulary: a printable byte is its own."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    sign = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return {c: "".join(sign[b] for b in chr(c).encode()) for c in range(192, 256)}
+
+
 class Chunks(dict):
-    """Chunk to code; the token ids of all codes lie end to end. Emptied when full."""
+    """Chunk to code; the token ids of all codes lie end to end. Emptied when full.
+
+    A run of letters is lower-cased and goes straight to the library's merges, which is what the whole tokenizer
+    does with it; any other chunk goes through the whole tokenizer.
+    """
 
     def __init__(self, path: str, most: int):
         import os
@@ -35,25 +50,39 @@ class Chunks(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.merges, self.letters = self.tokenizer.model, byte_letters()
         self._empty()
 
     def _empty(self) -> None:
         self.clear()
-        self.ids, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.new, self.ids, self.lengths = [], np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def __missing__(self, chunk: str) -> int:
+        if not (chunk.islower() or not WORD.fullmatch(chunk)):
+            code = self[chunk.lower()]
+        else:
+            code = len(self.lengths) + len(self.new)
+            self.new.append(chunk)
+        self[chunk] = code
+        return code
+
+    def _encode(self, chunks: list[str]) -> list[list[int]]:
+        words = [WORD.fullmatch(c) is not None for c in chunks]
+        rest = iter(self.tokenizer.encode_batch([c for c, w in zip(chunks, words) if not w], add_special_tokens=False))
+        return [[t.id for t in self.merges.tokenize(c.translate(self.letters))] if w else next(rest).ids for c, w in zip(chunks, words)]
 
     def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts end to end, and how many each has."""
         if len(self) > self.most:
             self._empty()
         docs = [CHUNK.findall(t) for t in texts]
-        new = list({c for doc in docs for c in doc}.difference(self))
-        if new:
-            fresh = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            self.update(zip(new, range(len(self.lengths), len(self.lengths) + len(new))))
-            self.ids = np.r_[self.ids, np.array([i for ids in fresh for i in ids], np.uint32)]
-            self.lengths = np.r_[self.lengths, np.fromiter(map(len, fresh), np.int64, len(fresh))]
         n = np.fromiter(map(len, docs), np.int64, len(docs))
-        codes = np.fromiter((c for doc in docs for c in map(self.__getitem__, doc)), np.int64, int(n.sum()))
+        codes = np.fromiter(map(self.__getitem__, chain.from_iterable(docs)), np.int64, int(n.sum()))
+        if self.new:
+            fresh = self._encode(self.new)
+            self.ids = np.r_[self.ids, np.fromiter(chain.from_iterable(fresh), np.uint32)]
+            self.lengths = np.r_[self.lengths, np.fromiter(map(len, fresh), np.int64, len(fresh))]
+            self.new = []
         starts, sizes = (np.cumsum(self.lengths) - self.lengths)[codes], self.lengths[codes]
         ends = np.cumsum(sizes)
         at = np.arange(int(sizes.sum())) + np.repeat(starts - (ends - sizes), sizes)
