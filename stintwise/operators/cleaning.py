@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,34 +35,6 @@ DURATION_COLUMNS = (
 )
 TIMESTAMP_COLUMNS = ("lap_start_date",)
 
-# Driver numbers of five 2023 races, first place to last, used
-# where a results source no longer delivers positions.
-GRID_ORDER = {
-    "Bahrain": "1 11 16 55 14 44 63 18 31 27 4 77 24 22 23 2 20 81 21 10",
-    "Monaco": "1 14 31 55 44 16 10 63 22 4 81 23 18 77 24 2 20 27 21 11",
-    "Silverstone": "1 4 81 16 55 63 44 23 14 10 27 18 31 2 11 22 24 21 20 77",
-    "Monza": "55 1 16 63 11 44 23 81 4 14 10 40 77 31 24 20 18 27 22 2",
-    "Spa": "16 11 44 55 81 1 4 63 14 18 22 10 23 77 31 20 24 2 3 27",
-}
-FINAL_ORDER = {
-    "Bahrain": "1 11 14 55 44 18 63 77 10 23 22 2 20 24 27 21 4 31 16 81",
-    "Monaco": "1 14 31 44 63 16 10 55 4 81 77 22 23 24 2 11 20 27 18 21",
-    "Silverstone": "1 4 44 81 63 16 55 11 14 23 2 77 22 24 18 20 27 10 31 21",
-    "Monza": "1 11 55 16 63 44 23 4 14 77 2 40 81 24 10 18 20 31 27 22",
-    "Spa": "1 11 16 44 14 63 4 31 18 22 10 77 24 23 20 3 2 27 55 81",
-}
-
-
-def recorded_overrides(spark: SparkSession) -> DataFrame:
-    """(race_name, driver_number, grid_position, final_position) of the recorded races."""
-    rows = []
-    for race, grid in GRID_ORDER.items():
-        final = FINAL_ORDER[race].split()
-        for place, number in enumerate(grid.split(), start=1):
-            rows.append((race, number, float(place), float(final.index(number) + 1)))
-    return spark.createDataFrame(rows, "race_name string, driver_number string, grid_position double, final_position double")
-
-
 def durations_to_seconds(df: DataFrame, nano_columns: Sequence[str] = DURATION_COLUMNS) -> DataFrame:
     """Replace durations by ``<name>_seconds``: intervals by type, nanoseconds by name."""
     added, gone = {}, []
@@ -96,12 +68,13 @@ def override_positions(
 ) -> DataFrame:
     """Values from the override table win; rows it does not know keep their own.
 
-    Keys compare as strings. The join carries no hint: a small table
-    broadcasts by its size.
+    Keys compare as strings. A key with several override rows takes the largest,
+    so no lap is repeated. The join carries no hint: a small table broadcasts by
+    its size.
     """
-    side = overrides.select(
-        *[F.col(k).cast("string").alias(f"__k_{k}") for k in keys],
-        *[F.col(c).cast("double").alias(f"__o_{c}") for c in columns],
+    values = F.struct(*[F.col(c).cast("double").alias(f"__o_{c}") for c in columns])
+    side = overrides.groupBy(*[F.col(k).cast("string").alias(f"__k_{k}") for k in keys]).agg(F.max(values).alias("__v")).select(
+        *[f"__k_{k}" for k in keys], "__v.*"
     )
     on = [F.col(k).cast("string") == F.col(f"__k_{k}") for k in keys]
     present = [c for c in columns if c in df.columns]

@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .hot import HOT_ROWS, add_cells, any_hot, join_back, prefixed, same_keys, split_hot
 
@@ -198,15 +199,19 @@ def rank_within(
     done = ordinary.withColumn(name, plain)
 
     hot = hot.drop("hot_count")
-    key = -F.col(value) if descending else F.col(value)
-    counted = hot.select(*keys, key.cast("double").alias("__v")).groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__ties"))
+    # The value's own type throughout. Complement turns the order of whole numbers round without a loss.
+    whole = isinstance(df.schema[value].dataType, T.IntegralType)
+    key = F.col(value) if not descending else F.bitwise_not(F.col(value)) if whole else -F.col(value)
+    counted = hot.select(*keys, key.alias("__v")).groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__ties"))
     cuts = [i / splits for i in range(1, splits)]
+    number = F.col("__v").cast("double")
     # One row per hot group, the same bound as in split_hot.
-    points = counted.groupBy(*keys).agg(F.percentile_approx("__v", cuts, 10 * splits).alias("__cuts"))
+    points = counted.groupBy(*keys).agg(F.percentile_approx(F.when(~F.isnan(number), number), cuts, 10 * splits).alias("__cuts"))
     points = F.broadcast(prefixed(points, keys, "__s_"))
     placed = counted.join(points, same_keys(keys, "__s_"), "inner").drop(*[f"__s_{k}" for k in keys])
-    below = F.size(F.filter("__cuts", lambda c: c < F.col("__v")))
-    bucket = F.when(F.col("__v").isNull(), F.lit(splits + 1 if descending else -1)).otherwise(below)
+    below = F.coalesce(F.size(F.filter("__cuts", lambda c: c < number)), F.lit(0))
+    bucket = F.when(F.col("__v").isNull(), F.lit(splits + 1 if descending else -1))
+    bucket = bucket.when(F.isnan(number), F.lit(-1 if descending else splits + 1)).otherwise(below)  # NaN is the largest
     placed = placed.withColumn("__cut", bucket).drop("__cuts")
     scanned = running(
         placed, keys, ["__cut", "__v"], [F.col("__cut")],
@@ -214,6 +219,6 @@ def rank_within(
     )
     rank = F.col("__nth") if dense else F.col("__seen") - F.col("__ties") + 1
     ranks = scanned.select(*keys, F.col("__v").alias("__rank_v"), rank.cast("int").alias(name))
-    back = hot.withColumn("__rank_v", key.cast("double"))
+    back = hot.withColumn("__rank_v", key)
     ranked = join_back(back, ranks, [*keys, "__rank_v"], null_safe=True).drop("__rank_v")
     return done.unionByName(ranked)

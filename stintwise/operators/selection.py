@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ DEFAULT_RACES = [
     (2023, "Silverstone", "R"),
     (2023, "Spa", "R"),
 ]
+SELECTION_COLUMNS = ["season", "race_name", "session_type"]
 SELECTION_SCHEMA = "season int, race_name string, session_type string"
 
 
@@ -24,57 +26,46 @@ def selection(spark: SparkSession, races: Sequence[tuple[int, str, str]] | None
     return spark.createDataFrame(list(DEFAULT_RACES if races is None else races), SELECTION_SCHEMA)
 
 
-def races_only(schedule: DataFrame) -> DataFrame:
-    """Calendar without test events, which are numbered 0."""
-    return schedule.where(F.col("RoundNumber") > 0)
+def save_selection(races: DataFrame, path: str) -> None:
+    """Keep a selection for later sessions."""
+    races.select(*SELECTION_COLUMNS).write.mode("overwrite").parquet(path)
+
+
+def saved_selection(spark: SparkSession, path: str) -> DataFrame:
+    """A kept selection; without one the default list."""
+    try:
+        return spark.read.schema(SELECTION_SCHEMA).parquet(path)
+    except AnalysisException:
+        return selection(spark)
+
+
+def races_only(schedule: DataFrame, season: int | None = None) -> DataFrame:
+    """Calendar of one season, or of all, without test events, which are numbered 0."""
+    races = schedule.where(F.col("RoundNumber") > 0)
+    return races if season is None else races.where(F.col("season") == season)
 
 
 def _as_selection(schedule: DataFrame) -> DataFrame:
     return schedule.select("season", F.col("EventName").alias("race_name"), F.lit("R").alias("session_type"))
 
 
-def first_races(schedule: DataFrame, n: int = DEFAULT_FIRST) -> DataFrame:
+def first_races(schedule: DataFrame, n: int = DEFAULT_FIRST, season: int | None = None) -> DataFrame:
     """The first ``n`` races of each season in calendar order.
 
     The rank filter prunes map-side (window group limit), so ``n`` rows per
     season and task are all that is shuffled.
     """
     by_round = Window.partitionBy("season").orderBy("RoundNumber", "EventName")
-    ranked = races_only(schedule).withColumn("__nth", F.row_number().over(by_round))
+    ranked = races_only(schedule, season).withColumn("__nth", F.row_number().over(by_round))
     return _as_selection(ranked.where(F.col("__nth") <= n))
 
 
-def named_races(schedule: DataFrame, names: Sequence[str]) -> DataFrame:
-    return _as_selection(races_only(schedule).where(F.col("EventName").isin(list(names))))
+def named_races(schedule: DataFrame, names: Sequence[str], season: int | None = None) -> DataFrame:
+    return _as_selection(races_only(schedule, season).where(F.col("EventName").isin(list(names))))
 
 
-def whole_season(schedule: DataFrame) -> DataFrame:
-    return _as_selection(races_only(schedule))
-
-
-def select_races(
-    spark: SparkSession,
-    schedule: DataFrame | None = None,
-    mode: str | None = None,
-    value: int | Sequence[str] | None = None,
-    saved: DataFrame | None = None,
-) -> DataFrame:
-    """Selection by mode ``first``, ``named`` or ``season``.
-
-    Without a mode: the saved selection if there is one, else the default
-    list. An unknown mode also gives the default list.
-    """
-    if mode is None:
-        return saved if saved is not None else selection(spark)
-    if mode in ("first", "named", "season") and schedule is None:
-        raise ValueError(f"mode {mode!r} needs a schedule")
-    if mode == "first":
-        return first_races(schedule, DEFAULT_FIRST if value is None else int(value))
-    if mode == "named":
-        return named_races(schedule, value or [])
-    if mode == "season":
-        return whole_season(schedule)
-    return selection(spark)
+def whole_season(schedule: DataFrame, season: int | None = None) -> DataFrame:
+    return _as_selection(races_only(schedule, season))
 
 
 def keep_selected(df: DataFrame, chosen: DataFrame, keys: Sequence[str] = ("season", "race_name")) -> DataFrame:

@@ -21,6 +21,7 @@ TREES, LEARNING_RATE, DEPTH = 120, 0.08, 5
 
 TARGET = "LapTime"
 UNSEEN = -1.0
+MISSING = -999.0  # a number that is not there; below all inputs, so that trees can tell it apart
 
 
 def features(laps: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -57,7 +58,7 @@ def fit(train: DataFrame, trees: int = TREES, rate: float = LEARNING_RATE, depth
 
     Labels become codes in alphabetical order, unseen ones -1. The codes pass
     through SQL, which drops the category metadata, so the trees split them as
-    ordered numbers.
+    ordered numbers. A missing number becomes ``MISSING``: no row is left out.
     """
     spark = train.sparkSession
     if spark.sparkContext.getCheckpointDir() is None and shared_dir(spark):
@@ -70,8 +71,9 @@ def fit(train: DataFrame, trees: int = TREES, rate: float = LEARNING_RATE, depth
         f"CASE WHEN {c}Index < {len(known)} THEN {c}Index ELSE {UNSEEN} END AS {c}Code"
         for c, known in zip(LABELS, indexer.labelsArray)
     )
-    encode = SQLTransformer(statement=f"SELECT *, {coded} FROM __THIS__")
-    collect = VectorAssembler(inputCols=[*codes, *NUMBERS], outputCol="inputs", handleInvalid="skip")
+    filled = ", ".join(f"COALESCE(NANVL(CAST({c} AS DOUBLE), {MISSING}D), {MISSING}D) AS {c}Known" for c in NUMBERS)
+    encode = SQLTransformer(statement=f"SELECT *, {coded}, {filled} FROM __THIS__")
+    collect = VectorAssembler(inputCols=[*codes, *[f"{c}Known" for c in NUMBERS]], outputCol="inputs", handleInvalid="error")
     boost = GBTRegressor(
         featuresCol="inputs", labelCol=TARGET, maxIter=trees, stepSize=rate, maxDepth=depth, maxBins=128, seed=seed
     )
@@ -83,7 +85,7 @@ def fit(train: DataFrame, trees: int = TREES, rate: float = LEARNING_RATE, depth
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Input columns and ``prediction``."""
+    """Input columns and ``prediction``, one row for each input row."""
     return model.transform(rows).select(*rows.columns, "prediction")
 
 

@@ -64,6 +64,8 @@ class Workspace:
         return self._table(table, lambda: as_gold(build(self.engineered()), table))
 
     def gold_folder(self) -> str:
+        if self.base is None:
+            raise ValueError("spark.checkpoint.dir must name a shared folder for tables that are written and read back")
         for table in GOLD_SCHEMAS:
             self.gold(table)
         return self.base

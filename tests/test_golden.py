@@ -19,12 +19,12 @@ S = 1_000_000_000
 def raw(spark):
     from datetime import timedelta
 
-    rest = ("SOFT", 1.0, "Team A")
+    rest = ("MEDIUM", 3.0, "Works")
     nan = float("nan")
     return spark.createDataFrame(
         [
-            (timedelta(hours=1, minutes=2), "VER", "1", 90 * S, 1.0, 30 * S, 30 * S, 30 * S, *rest, 1.0, "Bahrain", 25.0, 35.0, False, nan, nan),
-            (timedelta(hours=1, minutes=3, seconds=30), "PER", "11", 92 * S, 1.0, 31 * S, 31 * S, 30 * S, *rest, 2.0, "Bahrain", 25.0, 35.0, False, nan, nan),
+            (timedelta(minutes=70), "ALO", "14", 81 * S, 4.0, 26 * S, 29 * S, 26 * S, *rest, 5.0, "Imola", 19.0, 28.5, False, nan, nan),
+            (timedelta(minutes=71, seconds=15), "NOR", "4", 83 * S, 4.0, 27 * S, 29 * S, 27 * S, *rest, 6.0, "Imola", 19.0, 28.5, False, nan, nan),
         ],
         RAW_SCHEMA,
     )
@@ -32,23 +32,21 @@ def raw(spark):
 
 def test_durations_become_seconds(raw):
     cleaned = by(silver.clean_laps(nan_to_null(raw)), "driver")
-    assert cleaned["VER"].lap_time_seconds == 90.0
-    assert [cleaned[d].sector1_time_seconds for d in ("VER", "PER")] == [30.0, 31.0]
-    assert cleaned["VER"].time_seconds == 3720.0 and cleaned["PER"].time_seconds == 3810.0
-    assert "lap_time" not in cleaned["VER"].asDict()
+    assert cleaned["ALO"].lap_time_seconds == 81.0
+    assert [cleaned[d].sector1_time_seconds for d in ("ALO", "NOR")] == [26.0, 27.0]
+    assert cleaned["ALO"].time_seconds == 4200.0 and cleaned["NOR"].time_seconds == 4275.0
+    assert "lap_time" not in cleaned["ALO"].asDict()
 
 
-def test_recorded_positions_fill_in(spark, raw):
-    cleaned = by(silver.clean_laps(nan_to_null(raw), cleaning.recorded_overrides(spark)), "driver")
-    assert (cleaned["VER"].grid_position, cleaned["VER"].final_position) == (1.0, 1.0)
-    assert (cleaned["PER"].grid_position, cleaned["PER"].final_position) == (2.0, 2.0)
-
-
-def test_recorded_positions_cover_each_place_once(spark):
-    places = cleaning.recorded_overrides(spark).groupBy("race_name").agg(
-        F.count_distinct("grid_position").alias("g"), F.count_distinct("final_position").alias("f"), F.max("final_position").alias("last")
+def test_override_table_fills_positions_without_repeating_laps(spark, raw):
+    places = spark.createDataFrame(
+        [("Imola", "14", 7.0, 3.0), ("Imola", "14", 7.0, 2.0), ("Imola", "99", 1.0, 1.0)],
+        "race_name string, driver_number string, grid_position double, final_position double",
     )
-    assert {(r.g, r.f, r.last) for r in places.collect()} == {(20, 20, 20.0)} and places.count() == 5
+    cleaned = silver.clean_laps(nan_to_null(raw), places)
+    assert cleaned.count() == 2
+    alo = by(cleaned, "driver")["ALO"]
+    assert (alo.grid_position, alo.final_position) == (7.0, 3.0)
 
 
 def test_all_missing_numbers_become_zero(raw):
@@ -63,12 +61,12 @@ def test_integer_columns_take_an_interpolated_median(spark):
 
 def test_sector_deltas(spark):
     df = spark.createDataFrame(
-        [("Bahrain", 1.0, 30.0, 30.0, 30.0), ("Bahrain", 1.0, 31.5, 30.0, 29.0), (None, 1.0, 10.0, 10.0, 10.0)],
+        [("Imola", 7.0, 26.25, 41.0, 33.5), ("Imola", 7.0, 28.0, 41.0, 33.0), ("Imola", 8.0, 27.0, 40.0, 30.0), (None, 7.0, 10.0, 10.0, 10.0)],
         "race_name string, lap_number double, sector1_time_seconds double, sector2_time_seconds double, sector3_time_seconds double",
     )
     got = by(transform.sector_deltas(df), "sector1_time_seconds")
-    assert (got[30.0].sector1_delta, got[31.5].sector1_delta) == (0.0, 1.5)
-    assert (got[30.0].sector3_delta, got[31.5].sector3_delta) == (1.0, 0.0)
+    assert (got[26.25].sector1_delta, got[28.0].sector1_delta, got[27.0].sector1_delta) == (0.0, 1.75, 0.0)
+    assert (got[26.25].sector3_delta, got[28.0].sector3_delta) == (0.5, 0.0)
     assert got[10.0].sector1_delta is None
 
 
@@ -86,27 +84,25 @@ DRIVER_SCHEMA = "season double, race_name string, driver string, lap_time_second
 
 
 def test_driver_analytics(spark):
-    rows = [(2023.0, "Bahrain", "VER", 90.0, 1.0, 1.0)] * 3 + [
-        (2023.0, "Bahrain", "HAM", 91.0, 3.0, 2.0), (2023.0, "Bahrain", "HAM", 93.0, 3.0, 2.0), (2023.0, "Bahrain", "ONE", 99.0, 5.0, 9.0),
+    rows = [(2022.0, "Imola", "ALO", 81.5, 4.0, 6.0)] * 4 + [
+        (2022.0, "Imola", "NOR", 80.0, 9.0, 5.0), (2022.0, "Imola", "NOR", 84.0, 9.0, 5.0), (2022.0, "Imola", "ONE", 88.0, 2.0, 2.0),
     ]
     got = by(gold.driver_analytics(spark.createDataFrame(rows, DRIVER_SCHEMA)), "driver")
-    ver, ham, one = got["VER"], got["HAM"], got["ONE"]
-    assert (ver.avg_lap_time_seconds, ver.fastest_lap, ver.consistency_index, ver.position_change) == (90.0, 90.0, 0.0, 0.0)
-    assert (ham.avg_lap_time_seconds, ham.fastest_lap, ham.consistency_index, ham.position_change) == (92.0, 91.0, 70.71, 1.0)
-    assert one.lap_time_std is None and one.consistency_index == 0.0 and one.position_change == -4.0
+    alo, nor, one = got["ALO"], got["NOR"], got["ONE"]
+    assert (alo.avg_lap_time_seconds, alo.fastest_lap, alo.consistency_index, alo.position_change) == (81.5, 81.5, 0.0, -2.0)
+    assert (nor.avg_lap_time_seconds, nor.fastest_lap, nor.consistency_index, nor.position_change) == (82.0, 80.0, 35.36, 4.0)
+    assert one.lap_time_std is None and one.consistency_index == 0.0 and one.position_change == 0.0
 
 
 def test_tire_analytics(spark):
+    stints = {("ALO", "HARD"): [(81.0, 0.25, 9.0)], ("ALO", "MEDIUM"): [(79.0, 0.5, 6.0), (83.0, 0.5, 6.0)], ("NOR", "MEDIUM"): [(80.0, 0.75, 4.0)] * 2}
     df = spark.createDataFrame(
-        [
-            (2023.0, "Bahrain", "VER", "SOFT", 90.0, 0.05, 10.0), (2023.0, "Bahrain", "VER", "SOFT", 91.0, 0.05, 10.0),
-            (2023.0, "Bahrain", "HAM", "SOFT", 92.0, 0.06, 12.0), (2023.0, "Bahrain", "HAM", "HARD", 94.0, 0.02, 15.0),
-        ],
+        [(2022.0, "Imola", *who, *lap) for who, laps in stints.items() for lap in laps],
         "season double, race_name string, driver string, compound string, lap_time_seconds double, tire_degradation_rate double, stint_length double",
     )
     got = by(gold.tire_analytics(df), "driver", "compound")
-    assert {k: r.compound_usage_pct for k, r in got.items()} == {("VER", "SOFT"): 75.0, ("HAM", "SOFT"): 75.0, ("HAM", "HARD"): 25.0}
-    assert got["VER", "SOFT"].avg_lap_time == 90.5 and got["HAM", "HARD"].max_stint_length == 15.0
+    assert {k: r.compound_usage_pct for k, r in got.items()} == {("ALO", "HARD"): 20.0, ("ALO", "MEDIUM"): 80.0, ("NOR", "MEDIUM"): 80.0}
+    assert got["ALO", "MEDIUM"].avg_lap_time == 81.0 and got["ALO", "HARD"].max_stint_length == 9.0
 
 
 LAP_SCHEMA = (
@@ -115,15 +111,16 @@ LAP_SCHEMA = (
 
 
 def test_pitstop_analytics(spark):
-    df = spark.createDataFrame(
-        [(2023.0, "Bahrain", "VER", lap, pos, pit, 2.0) for lap, pos, pit in ((1.0, 1.0, None), (2.0, 1.0, 25.0), (3.0, 3.0, None), (4.0, 2.0, None))]
-        + [(2023.0, "Bahrain", "HAM", lap, pos, pit, 3.0) for lap, pos, pit in ((1.0, 4.0, None), (2.0, 4.0, 24.5), (3.0, 5.0, None), (4.0, 3.0, None))]
-        + [(2023.0, "Bahrain", "NIL", 1.0, 7.0, None, 7.0)],
-        LAP_SCHEMA,
-    )
-    got = by(gold.pitstop_analytics(df), "driver")
-    assert set(got) == {"VER", "HAM"}
-    for driver, rate, score in (("VER", 0.0, -1.0), ("HAM", 1.0, 1.0)):
+    """Stops on the second of three laps: one place lost by the end, two places gained, and a driver without a stop."""
+    places = {"ALO": [2.0, 2.0, 3.0], "NOR": [8.0, 7.0, 6.0], "NIL": [1.0, 1.0, 1.0]}
+    final = {"ALO": 3.0, "NOR": 6.0, "NIL": 1.0}
+    rows = [
+        (2022.0, "Imola", d, float(n), place, 31.0 if n == 2 and d != "NIL" else None, final[d])
+        for d, run in places.items() for n, place in enumerate(run, start=1)
+    ]
+    got = by(gold.pitstop_analytics(spark.createDataFrame(rows, LAP_SCHEMA)), "driver")
+    assert set(got) == {"ALO", "NOR"}
+    for driver, rate, score in (("ALO", 0.0, -1.0), ("NOR", 1.0, 2.0)):
         r = got[driver]
         assert (r.pit_count, r.avg_pit_window, r.strategy_type) == (1, 2.0, "1-stop")
         assert (r.undercut_success_rate, r.pit_stop_efficiency_score) == (rate, score)
@@ -194,16 +191,20 @@ def test_selection_modes(spark):
     def names(df):
         return {(r.season, r.race_name) for r in df.collect()}
 
-    pick = lambda *a, **k: names(selection.select_races(spark, *a, **k))
-    assert pick() == {(y, r) for y, r, _ in selection.DEFAULT_RACES}
-    assert pick(saved=selection.selection(spark, [(2023, "Test GP", "R")])) == {(2023, "Test GP")}
-    assert pick(schedule, "first", 2) == {(2023, "GP 1"), (2023, "GP 2"), (2024, "Early"), (2024, "Late")}
-    assert len(pick(schedule, "first")) == 7
-    assert pick(schedule, "named", ["GP 3", "GP 0"]) == {(2023, "GP 3")}
-    assert len(pick(schedule, "season")) == 9
-    assert len(pick(schedule, "other")) == 5
-    with pytest.raises(ValueError):
-        selection.select_races(spark, mode="first")
+    assert names(selection.selection(spark)) == {(y, r) for y, r, _ in selection.DEFAULT_RACES}
+    assert names(selection.first_races(schedule, 2)) == {(2023, "GP 1"), (2023, "GP 2"), (2024, "Early"), (2024, "Late")}
+    assert names(selection.first_races(schedule, 2, season=2024)) == {(2024, "Early"), (2024, "Late")}
+    assert len(names(selection.first_races(schedule))) == 7
+    assert names(selection.named_races(schedule, ["GP 3", "GP 0"])) == {(2023, "GP 3")}
+    assert names(selection.named_races(schedule, ["GP 3"], season=2024)) == set()
+    assert len(names(selection.whole_season(schedule))) == 9 and len(names(selection.whole_season(schedule, 2023))) == 7
+
+
+def test_saved_selection(spark, tmp_path):
+    path = str(tmp_path / "chosen")
+    assert selection.saved_selection(spark, path).count() == len(selection.DEFAULT_RACES)
+    selection.save_selection(selection.selection(spark, [(2022, "Imola", "R")]), path)
+    assert [tuple(r) for r in selection.saved_selection(spark, path).collect()] == [(2022, "Imola", "R")]
 
 
 def test_position_change(spark):

@@ -60,3 +60,10 @@ def test_saved_model_predicts_the_same(fitted, parts, tmp_path):
     fitted.write().save(path)
     a, b = (model.predict(m, parts[1]).select(*KEYS, "prediction") for m in (fitted, PipelineModel.load(path)))
     assert a.exceptAll(b).count() == 0
+
+
+def test_rows_with_missing_numbers_are_scored(fitted, parts):
+    holdout = parts[1].withColumn("AirTemp", F.when(F.col("LapNumber") % 2 == 0, F.col("AirTemp"))).withColumn("Rainfall", F.lit(None).cast("double"))
+    scored = model.predict(fitted, holdout)
+    assert scored.count() == holdout.count() and scored.where("prediction is null").count() == 0
+    assert model.evaluate(fitted, holdout).first().rows == holdout.where(F.col(model.TARGET).isNotNull()).count()

@@ -128,3 +128,19 @@ def test_join_back_splits_a_skewed_group(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("kind", ["long", "double"])
+def test_hot_ranks_keep_the_values_own_type(spark, kind, descending):
+    """Longs beyond 2^53, NaN and infinities rank alike in the plain and in the hot path."""
+    if kind == "long":
+        values = [2**53, 2**53 + 1, 2**53 + 2, -(2**63), 2**63 - 1, None, 5, 5]
+    else:
+        values = [float("nan"), float("inf"), float("-inf"), None, 1.5, 1.5, -2.0, float("nan")]
+    df = spark.createDataFrame([("g", v) for v in values] + [("h", v) for v in values[:2]], f"g string, v {kind}")
+    rows = [
+        sorted((repr(r.g), repr(r.v), r.r) for r in rank_within(df, ["g"], "v", "r", descending=descending, hot_rows=n).collect())
+        for n in (3, 1_000_000)
+    ]
+    assert rows[0] == rows[1]
