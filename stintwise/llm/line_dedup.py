@@ -273,7 +273,7 @@ def line_classes(docs: DataFrame, edits: int = 2, least: int = 16) -> DataFrame:
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    distinct = staged(lines.groupBy("line").agg(F.count("*").alias("n")).select("line", F.monotonically_increasing_id().alias("id"), F.sha2("line", 256).alias("sha")), "lines", "zstd")
+    distinct = staged(lines.groupBy("line").agg(F.count("*").alias("n")).select("line", F.monotonically_increasing_id().alias("id"), F.unhex(F.sha2("line", 256)).alias("sha")), "lines", "zstd")
     pairs = staged(line_links(distinct, edits, least), "line-pairs")
     both = pairs.select("a").unionAll(pairs.select("b"))
     degree = both.groupBy(F.col("a").alias("node_")).agg(F.count("*").alias("n_links"))
@@ -281,9 +281,9 @@ def line_classes(docs: DataFrame, edits: int = 2, least: int = 16) -> DataFrame:
     names = staged(names.join(connected_components(pairs), F.col("id") == F.col("node"), "left").select("id", "sha", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("root", "id").alias("root")), "line-names")
     classes = names.groupBy("root").agg(F.min("sha").alias("class_id"))
     labels = staged(names.join(classes, "root").select(F.col("sha").alias("own"), "class_id", "n_links"), "line-labels")
-    placed = lines.select("doc_id", "line_no", F.sha2("line", 256).alias("sha"))
+    placed = lines.select("doc_id", "line_no", F.unhex(F.sha2("line", 256)).alias("sha"))
     named = staged(placed.join(labels, F.col("sha") == F.col("own")).select("doc_id", "line_no", "class_id", "n_links"), "line-places")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc"), F.col("line_no").alias("no"))
     first = staged(named.groupBy(F.col("class_id").alias("c")).agg(F.min(place).alias("first")), "line-firsts")
     kept = F.col("first.doc").eqNullSafe(F.col("doc_id")) & (F.col("first.no") == F.col("line_no"))
-    return named.join(first, F.col("class_id") == F.col("c")).select("doc_id", "line_no", "class_id", "n_links", kept.alias("kept"))
+    return named.join(first, F.col("class_id") == F.col("c")).select("doc_id", "line_no", F.lower(F.hex("class_id")).alias("class_id"), "n_links", kept.alias("kept"))
