@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,7 +61,8 @@ def least_seed(raw: np.ndarray) -> np.ndarray:
         step = min(done, REACH - done)
         h = np.minimum(h[:-step], h[step:])
         done += step
-    return h
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)  # least hashes are small: spread them evenly again
+    return h ^ (h >> np.uint64(32))
 
 
 def seed_runs(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -103,13 +105,13 @@ def marked_seeds(docs: DataFrame, bits: int) -> np.ndarray:
             rows = [(b, ((value[f:e] >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()) for b, f, e in by_block(value, bits)]
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], ["block", "seeds"])
 
-        for batch in small_batches(batches, "text", 2 << 20):
+        for batch in small_batches(batches, "text", 1 << 20):
             raw, at = byte_column(batch.column("text"))
             _, _, doc, seed = seed_runs(raw, at)
             seeds.append(seed)
             owners.append(doc + serial)
             serial, held = serial + batch.num_rows, held + len(seed)
-            if held > 2_000_000:
+            if held > 400_000:
                 yield from flush()
                 seeds, owners, held = [], [], 0
         if held:
@@ -142,7 +144,15 @@ def merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return doc[new], start[new], np.maximum.reduceat(end, new)
 
 
-RUNS = "block int, sizes binary, bytes binary, ids binary, keys binary, starts binary, known binary"
+RUNS = "block int, sizes binary, bytes binary, docs binary, owners binary, starts binary, known binary"
+
+
+def pack(values: bytes | np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values if isinstance(values, bytes) else np.ascontiguousarray(values).tobytes())
+
+
+def unpack(values: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(values), kind)
 
 
 def cut_runs(table, bits: int):
@@ -166,14 +176,16 @@ def cut_runs(table, bits: int):
         columns: list[list] = [[] for _ in range(7)]
         for (block, f, last), part in zip(stretches or [(0, 0, 0)], parts):
             at = send[f:last]
-            row = (block, size[at].astype("<i4"), b"".join([text[i] for i in at.tolist()]), owner[at], key[at], start[at], part)
-            for column, value in zip(columns, row):
-                column.append(value.tobytes() if isinstance(value, np.ndarray) else value)
+            here, of = np.unique(np.stack([owner[at], key[at]], axis=1), axis=0, return_inverse=True)
+            row = (size[at].astype("u1"), b"".join([text[i] for i in at.tolist()]), here, of.astype("<u4"), start[at].astype("<i8"), part)
+            columns[0].append(block)
+            for column, value in zip(columns[1:], row):
+                column.append(pack(value))
         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], RUNS.replace(" int", "").replace(" binary", "").split(", "))
 
     def run(batches):
         marks, held, n = table.value, [], 0
-        for batch in small_batches(batches, "text", 2 << 20):
+        for batch in small_batches(batches, "text", 1 << 20):
             raw, at = byte_column(batch.column("text"))
             first, size, doc, seed = seed_runs(raw, at)
             slot = seed >> np.uint64(64 - TABLE_BITS)
@@ -188,7 +200,7 @@ def cut_runs(table, bits: int):
             ids = batch.column("doc_id").fill_null(NO_ID).to_numpy()
             held.append((text, size, ids[doc], batch.column("key").to_numpy()[doc], first - at[doc], seed))
             n += len(text)
-            if n > 200_000:
+            if n > 80_000:
                 yield from flush(held)
                 held, n = [], 0
         if n:
@@ -229,14 +241,36 @@ def class_least(raw: np.ndarray, start: np.ndarray, size: np.ndarray, owner: np.
     return run, least
 
 
-def sorted_runs(texts: list[bytes], size: np.ndarray, owner: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``class_least`` over the chosen runs, named as they are in ``texts``."""
-    if not len(chosen):
-        return chosen, chosen
-    n = size[chosen]
-    raw = np.frombuffer(b"".join([texts[i] for i in chosen.tolist()]), np.uint8)
-    run, least = class_least(raw, np.cumsum(n + WIDTH - 1) - (n + WIDTH - 1), n, owner[chosen])
-    return chosen[run], least
+def run_seeds(texts: list[bytes], size: np.ndarray, part: int = 8192) -> np.ndarray:
+    """Seed hash of each run, a part of the runs at a time."""
+    out = [np.zeros(0, np.uint64)]
+    for f in range(0, len(texts), part):
+        n = size[f : f + part] + WIDTH - 1
+        out.append(least_seed(np.frombuffer(b"".join(texts[f : f + part]), np.uint8))[np.cumsum(n) - n])
+    return np.concatenate(out)
+
+
+def sorted_runs(texts: list[bytes], size: np.ndarray, owner: np.ndarray, part: int = 16_384):
+    """Suffixes that a smaller document has too, as (run, place in the run), one bucket of seeds after another.
+
+    Equal suffixes have equal seeds, so a run alone with its seed needs no sorting and buckets end between seeds.
+    """
+    seed = run_seeds(texts, size)
+    order = np.argsort(seed, kind="stable")
+    _, alike = np.unique(seed[order], return_counts=True)
+    cuts = [0]
+    unlike = order[np.repeat(alike, alike) > 1]
+    ends = np.cumsum(alike[alike > 1])
+    while cuts[-1] < len(unlike):
+        at = min(len(ends) - 1, int(np.searchsorted(ends, cuts[-1] + part)))
+        cuts.append(int(ends[at]))
+    for f, e in zip(cuts, cuts[1:]):
+        chosen = unlike[f:e]
+        n = size[chosen]
+        raw = np.frombuffer(b"".join([texts[i] for i in chosen.tolist()]), np.uint8)
+        run, least = class_least(raw, np.cumsum(n + WIDTH - 1) - (n + WIDTH - 1), n, owner[chosen])
+        gone = np.flatnonzero(least < owner[chosen][run])
+        yield chosen[run[gone]], gone - (np.cumsum(n) - n)[run[gone]]
 
 
 SPANS = "doc_id long, key long, start long, end long"
@@ -244,9 +278,11 @@ SPANS = "doc_id long, key long, start long, end long"
 
 def sort_block(group: pa.Table) -> pa.Table:
     """Spans to remove, from the runs of one block and from what was settled before."""
-    join = lambda name, kind: np.frombuffer(b"".join(group.column(name).to_pylist()), kind)
-    size, raw, owner, key, start = join("sizes", "<i4").astype(np.int64), join("bytes", np.uint8), join("ids", np.int64), join("keys", np.int64), join("starts", np.int64)
-    out = [join("known", np.int64).reshape(-1, 4)]
+    parts = lambda name, kind: [unpack(x, kind) for x in group.column(name).to_pylist()]
+    size, raw, start = (np.concatenate(parts(name, kind)) for name, kind in (("sizes", "u1"), ("bytes", "u1"), ("starts", "<i8")))
+    docs = [d.reshape(-1, 2)[of] for d, of in zip(parts("docs", "<i8"), parts("owners", "<u4"))]
+    size, (owner, key) = size.astype(np.int64), np.concatenate(docs).T
+    out = [np.concatenate(parts("known", "<i8")).reshape(-1, 4)]
     if len(size):
         end = np.cumsum(size + WIDTH - 1)
         data, code = raw.tobytes(), {}
@@ -263,17 +299,10 @@ def sort_block(group: pa.Table) -> pa.Table:
         out.append(np.stack([owner[later], key[later], start[later], start[later] + size[later] + WIDTH - 1], axis=1))
         texts = list(code)
         n = size[np.array(first_of)]
-        joined = np.frombuffer(b"".join(texts), np.uint8)
-        begin = np.cumsum(n + WIDTH - 1) - (n + WIDTH - 1)
-        _, of_seed, alike = np.unique(least_seed(joined)[begin], return_inverse=True, return_counts=True)
-        unlike = np.flatnonzero(alike[of_seed] > 1)  # runs that share a seed with another run; equal suffixes have equal seeds
-        run, low = sorted_runs(texts, n, least, unlike)
-        gone = np.flatnonzero(low < least[run])
-        if len(gone):
-            sizes = np.zeros(len(n), np.int64)
-            sizes[unlike] = n[unlike]
-            nth = gone - (np.cumsum(sizes) - sizes)[run[gone]]
-            r, s, e = merged(run[gone], nth, nth + WIDTH)
+        found = list(sorted_runs(texts, n, least))
+        if any(len(r) for r, _ in found):
+            run, nth = (np.concatenate([x[i] for x in found]) for i in (0, 1))
+            r, s, e = merged(run, nth, nth + WIDTH)
             keepers = np.flatnonzero(owner == least[own])  # the smallest document may hold a run more than once
             keepers = keepers[np.argsort(own[keepers], kind="stable")]
             f, t = np.searchsorted(own[keepers], r, "left"), np.searchsorted(own[keepers], r, "right")
@@ -303,7 +332,7 @@ def remove_spans(batches):
         yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def suffix_dedup(docs: DataFrame, block_bytes: int = 32 << 20) -> DataFrame:
+def suffix_dedup(docs: DataFrame, block_bytes: int = 4 << 20) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) for every row of ``docs``.
 
     Null and empty texts have nothing to remove. The smallest document that holds a string keeps it; of rows that share
