@@ -120,31 +120,48 @@ class Tree:
         return found
 
 
-def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> pd.DataFrame:
+def first_copies(rows: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Which of the rows, sorted by id, can be among the k nearest of a query: of equal vectors the k smallest ids besides any one id."""
+    _, which = np.unique(rows.view(np.dtype((np.void, rows.shape[1] * 8))).reshape(-1), return_inverse=True)
+    order = np.argsort(which, kind="stable")
+    at, which, ids = np.arange(len(order)), which[order], ids[order]
+    fresh = np.r_[True, which[1:] != which[:-1]]
+    place = at - np.maximum.accumulate(np.where(fresh, at, 0))
+    run = at - np.maximum.accumulate(np.where(fresh | np.r_[True, ids[1:] != ids[:-1]], at, 0)) + 1
+    longest = np.maximum.accumulate(which * (len(order) + 1) + run) - which * (len(order) + 1)
+    return np.sort(order[place - longest < k])
+
+
+def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, cells: int = 1 << 21) -> pd.DataFrame:
     """The k rows of largest inner product for each query, ties to smaller ids, never the query's own row.
 
-    Equal vectors are scored once and in one order of addition, so equal rows have equal scores.
+    A matrix product finds all rows that can be among the k within its rounding; these are scored again, each row
+    in one order of addition, so that equal rows have equal scores.
     """
-    out_q, out_i, out_s = [], [], []
+    parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
     if len(rows) and len(queries):
         order = np.argsort(ids, kind="stable")
-        rows, ids = np.ascontiguousarray(rows[order]), ids[order]
-        _, first, which = np.unique(rows.view(np.dtype((np.void, rows.shape[1] * 8))).reshape(-1), return_index=True, return_inverse=True)
-        unique = rows[first]
-        for q, qid in zip(queries, query_ids.tolist()):
-            scores = (unique * q).sum(axis=1)[which]
-            scores[ids == qid] = -np.inf
-            if len(ids) > k + 1:
-                at = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
-            else:
-                at = np.arange(len(ids))
-            at = at[np.lexsort((ids[at], -scores[at]))][:k]
-            at = at[ids[at] != qid]
-            out_q.append(np.full(len(at), qid))
-            out_i.append(ids[at])
-            out_s.append(scores[at])
-    join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-    return pd.DataFrame({"query_id": join(out_q, np.int64), "vec_id": join(out_i, np.int64), "score": join(out_s, np.float64)})
+        order = order[first_copies(np.ascontiguousarray(rows[order]), ids[order], k)]
+        rows, ids = rows[order], ids[order]
+        longest, dims = np.sqrt((rows * rows).sum(axis=1).max()), rows.shape[1]
+        step = max(1, cells // len(rows))
+        for s in range(0, len(queries), step):
+            asked, own = queries[s : s + step], query_ids[s : s + step]
+            near = asked @ rows.T
+            near[own[:, None] == ids] = -np.inf
+            least = np.partition(near, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(asked), -np.inf)
+            slack = 4 * dims * np.finfo(float).eps * longest * np.sqrt((asked * asked).sum(axis=1))
+            q, r = np.nonzero((near >= (least - slack)[:, None]) & (near > -np.inf))
+            scores = np.zeros(len(q))
+            for i in range(0, len(q), cells // dims + 1):
+                some = slice(i, i + cells // dims + 1)
+                scores[some] = (rows[r[some]] * asked[q[some]]).sum(axis=1)
+            order = np.lexsort((ids[r], -scores, q))
+            q, r, scores = q[order], r[order], scores[order]
+            top = np.arange(len(q)) - np.searchsorted(q, q) < k
+            parts.append((own[q[top]], ids[r[top]], scores[top]))
+    found = [np.concatenate(x) for x in zip(*parts)]
+    return pd.DataFrame(dict(zip(["query_id", "vec_id", "score"], found)))
 
 
 def calibrated_visits(index: DataFrame, queries: DataFrame, tree: Tree, k: int, recall: float, sample: int) -> int:
@@ -172,18 +189,30 @@ def calibrated_visits(index: DataFrame, queries: DataFrame, tree: Tree, k: int,
 
 
 def nearest(
-    vectors: DataFrame, every: int = 20, k: int = 20, sample: int = 20_000, fan: int = 16, leaf: int = 64, recall: float = 0.97, calibration: int = 256, part: int = 1024
+    vectors: DataFrame,
+    every: int = 20,
+    k: int = 20,
+    sample: int = 20_000,
+    fan: int = 16,
+    spread: int = 64,
+    leaf: int = 16,
+    recall: float = 0.97,
+    calibration: int = 256,
+    part: int = 16_384,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row whose id is divisible by ``every``, its ``k`` nearest found.
 
     Vectors that are null, zero, or hold null or non-finite components take no part, nor do those of another length
     than most, nor rows without an id. Rows that repeat an id are candidates each, but never for their own id.
+
+    A node is split while it holds more than a ``spread``-th of the sample, and more than ``leaf`` rows: the tree has a
+    few hundred leaves at every size of the table, so the visits of a query, which are moved, do not grow with it.
     """
     spark = vectors.sparkSession
     rows = staged(packed(vectors), "ann-rows")
     longest2 = float(rows.agg(F.max("norm2")).first()[0] or 0.0)
     fitting = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").collect()  # at most ``sample`` vectors
-    tree = Tree(matrix([bytes(r["v"]) for r in fitting]), longest2, fan, leaf)
+    tree = Tree(matrix([bytes(r["v"]) for r in fitting]), longest2, fan, max(leaf, len(fitting) // spread))
     shared = spark.sparkContext.broadcast(tree)
 
     def descend(batches):
