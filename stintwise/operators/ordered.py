@@ -21,10 +21,16 @@ from .hot import HOT_ROWS, add_cells, any_hot, join_back, prefixed, same_keys, s
 
 CHUNK_ROWS = 2_000_000
 COPY_BLOCK = 100_000
+SPLITS = 500
 
 WindowFn = Callable[[WindowSpec], Column]
 
 
+def quantile_cuts(number: Column, splits: int = SPLITS) -> Column:
+    """Approximate split points of a double column into ``splits`` ranges of alike many rows."""
+    return F.percentile_approx(number, [i / splits for i in range(1, splits)], 10 * splits)
+
+
 def neighbours(
     df: DataFrame,
     keys: Sequence[str],
@@ -58,15 +64,19 @@ def neighbours(
     if not any_hot(df if sizes_from is None else sizes_from, keys, hot_rows):
         return df.withColumns({n: f(plain) for n, f in columns.items()})
 
-    ordinary, hot = split_hot(df, keys, hot_rows, hot_lo=F.min(lead_col), hot_hi=F.max(lead_col))
+    number = lead_col.cast("double")
+    known = F.when(~F.isnan(number), number)
+    ordinary, hot = split_hot(df, keys, hot_rows, hot_cuts=quantile_cuts(known))
 
     done = ordinary.withColumns({n: f(plain) for n, f in columns.items()})
 
-    span = F.col("hot_hi") - F.col("hot_lo") + 1
-    width = F.greatest(F.lit(1.0), F.floor(span * chunk_rows / F.col("hot_count")).cast("double"))
-    outside = F.lit(2**62 if nulls_last else -1).cast("long")
-    hot = hot.withColumn("__range", F.coalesce(F.floor((lead_col - F.col("hot_lo")) / width).cast("long"), outside))
-    hot = hot.drop("hot_lo", "hot_hi", "hot_count")
+    # Approximate quantiles place the cuts, so ranges hold alike many rows
+    # whatever the values; NaN is the largest value and has its own range.
+    ranges = F.least(F.lit(SPLITS), F.ceil(F.col("hot_count") / chunk_rows))
+    below = F.coalesce(F.size(F.filter("hot_cuts", lambda c: c < number)), F.lit(0))
+    place = F.when(lead_col.isNull(), F.lit(SPLITS + 1 if nulls_last else -1)).when(F.isnan(number), F.lit(SPLITS))
+    hot = hot.withColumn("__range", place.otherwise(F.floor(below * ranges / SPLITS)))
+    hot = hot.drop("hot_cuts", "hot_count")
     # Inside a crowded range: by the exact order value, then by the hash that
     # arranges equal values.
     tie_slice = F.shiftright(F.xxhash64(*ties), 50) if ties else F.lit(0)
@@ -181,7 +191,7 @@ def rank_within(
     descending: bool = False,
     dense: bool = False,
     hot_rows: int = HOT_ROWS,
-    splits: int = 500,
+    splits: int = SPLITS,
 ) -> DataFrame:
     """``rank()`` or ``dense_rank()`` of a numeric column within each group.
 
@@ -203,10 +213,9 @@ def rank_within(
     whole = isinstance(df.schema[value].dataType, T.IntegralType)
     key = F.col(value) if not descending else F.bitwise_not(F.col(value)) if whole else -F.col(value)
     counted = hot.select(*keys, key.alias("__v")).groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__ties"))
-    cuts = [i / splits for i in range(1, splits)]
     number = F.col("__v").cast("double")
     # One row per hot group, the same bound as in split_hot.
-    points = counted.groupBy(*keys).agg(F.percentile_approx(F.when(~F.isnan(number), number), cuts, 10 * splits).alias("__cuts"))
+    points = counted.groupBy(*keys).agg(quantile_cuts(F.when(~F.isnan(number), number), splits).alias("__cuts"))
     points = F.broadcast(prefixed(points, keys, "__s_"))
     placed = counted.join(points, same_keys(keys, "__s_"), "inner").drop(*[f"__s_{k}" for k in keys])
     below = F.coalesce(F.size(F.filter("__cuts", lambda c: c < number)), F.lit(0))

@@ -52,6 +52,19 @@ def test_neighbours_in_chunks_equal_one_window(skewed, chunk_rows, nulls_last):
     close(plain, split)
 
 
+@pytest.mark.parametrize("nulls_last", [False, True])
+@pytest.mark.parametrize("odd", [1e12, 0.001, float("nan"), float("inf"), float("-inf"), None])
+def test_neighbours_with_odd_order_values(spark, odd, nulls_last):
+    """An outlier, small steps, NaN, infinities and nulls: as one window, and cut into chunks of alike many rows."""
+    step = odd if odd == 0.001 else 1.0
+    values = [(i * step, float(i)) for i in range(300)] + [(odd, -1.0), (odd, -2.0)]
+    df = spark.createDataFrame([("g", *v) for v in values], "driver string, lap double, position double")
+    columns = {"before": COLUMNS["before"], "after": lambda w: F.lead("position", 1).over(w)}
+    plain = neighbours(df, ["driver"], ["lap"], columns, 1, 1, nulls_last=nulls_last)
+    split = neighbours(df, ["driver"], ["lap"], columns, 1, 1, nulls_last=nulls_last, hot_rows=100, chunk_rows=50)
+    close(plain, split)
+
+
 def test_neighbours_keep_the_plan_of_ordinary_data_small(skewed):
     plan = neighbours(skewed, ["driver"], ["lap"], COLUMNS, 4, 10)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
