@@ -118,7 +118,7 @@ def train_languages(docs: DataFrame, sample: int = 1000, order: int = 4) -> Tree
     own = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("doc_id", "text").alias("h"))
     counts = own.groupBy("lang").agg(F.count("*").alias("n"))
     at_random = F.pmod(F.col("h"), F.lit(1 << 30)) < F.ceil(F.lit(float(sample)) / F.col("n") * (1 << 30))
-    rows = own.join(counts, "lang").where(at_random).select("lang", "text")
+    rows = own.join(F.broadcast(counts), "lang").where(at_random).select("lang", "text")  # one row a language, as the trees have
 
     def read(batches):
         words: dict = defaultdict(Counter)
