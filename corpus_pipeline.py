@@ -17,38 +17,45 @@ from stintwise.llm.simhash import simhash_groups
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is in ``ids``."""
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, with as many marks in front as it takes to differ from every column of ``docs``."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name = "_" + name
+    return name
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject (score of 0.5 or more)."""
+    """Documents that the classifier does not reject (score of 0.5 or more), null and empty texts by the constant term."""
     weights = train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_quality(docs, weights).where("score >= 0.5").drop("score")
+    score = _free(docs, "score")
+    return score_quality(docs, weights, score).where(F.col(score) >= 0.5).drop(score)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts, the one with the largest id; of repeated rows one."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key")
+    """One document of each group of equal texts, the one with the largest id; of repeated rows one. A null text is empty."""
+    key, sha = _free(docs, "key"), _free(docs, "sha")
     text = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
-    kept = exact_dedup(docs).where("kept").select(key, F.col("text_sha256").alias("sha"))
-    rows = docs.select("*", key, F.sha2(text.cast("binary"), 256).alias("sha"))
-    return rows.join(kept, ["key", "sha"], "left_semi").dropDuplicates(["key", "sha"]).select(*docs.columns)
+    kept = exact_dedup(docs).where("kept").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(key), F.col("text_sha256").alias(sha))
+    rows = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), sha: F.sha2(text.cast("binary"), 256)})
+    return rows.join(kept, [key, sha], "left_semi").dropDuplicates([key, sha]).select(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by SimHash the document with the smallest id; documents without an id stay."""
-    groups = simhash_groups(docs).where("doc_id is null or doc_id = component_id").select("doc_id").distinct()
-    return _kept(docs, groups)
+    lowest = simhash_groups(docs).where("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias("lowest")).distinct()
+    return docs.join(lowest, docs["doc_id"].cast("long").eqNullSafe(lowest["lowest"]), "left_semi")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: not at all, once or twice, by the nearest whole number."""
-    taken = mix_sources(docs).where("taken > 0").select(F.col("doc_id").alias("id"), F.round(F.col("taken") / F.col("size")).cast("int").alias("times"))
-    once = taken.where("times > 0").groupBy("id").agg(F.max("times").alias("times"))
-    rows = docs.join(once, docs["doc_id"].cast("long").eqNullSafe(once["id"]))
-    return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")).drop("copy")
+    """Each document as often as the mix takes it: not at all, once or twice, by the nearest whole number.
+
+    Rows that share an id, or have none, are taken as often as the one taken most of them. Texts without words go.
+    """
+    own, times, copy = (_free(docs, c) for c in ("own", "times", "copy"))
+    taken = mix_sources(docs).where("taken > 0").select(F.col("doc_id").alias(own), F.round(F.col("taken") / F.col("size")).cast("int").alias(times))
+    often = taken.where(F.col(times) > 0).groupBy(own).agg(F.max(times).alias(times))
+    rows = docs.join(often, docs["doc_id"].cast("long").eqNullSafe(often[own]))
+    return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(times))).alias(copy)).drop(copy)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

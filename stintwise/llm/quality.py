@@ -131,10 +131,13 @@ def train_quality(docs: DataFrame, labels: DataFrame, sample: int = 20_000, shar
     return np.average([np.frombuffer(w, np.float32).astype(np.float64) for _, w in vectors], axis=0, weights=[n for n, _ in vectors])
 
 
-def score_quality(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """The columns of ``docs`` with ``score`` (0 to 1) added; null and empty texts get the constant term's score."""
+def score_quality(docs: DataFrame, weights: np.ndarray, score: str = "score") -> DataFrame:
+    """The columns of ``docs`` with ``score`` (0 to 1) added; null and empty texts get the constant term's score.
+
+    ``docs`` must not have a column of that name.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
-    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())])
 
     def run(batches):
         vocabulary, w = Vocabulary(), shared.value
@@ -142,7 +145,7 @@ def score_quality(docs: DataFrame, weights: np.ndarray) -> DataFrame:
             n, buckets = ngrams(vocabulary, texts_of(batch))
             sums = np.add.reduceat(np.r_[w[buckets].astype(np.float64), 0.0], np.cumsum(n) - n) if len(n) else np.zeros(0)
             z = float(w[0]) + np.where(n > 0, GAIN * sums / np.maximum(n, 1), 0.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))], [*batch.schema.names, score])
 
     return docs.mapInArrow(run, schema)
 
