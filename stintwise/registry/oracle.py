@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from ..operators.cleaning import MEDIAN_COLUMNS
 from .oracle_laps import over_laps
 
@@ -229,11 +231,8 @@ RACE_COLUMNS = (
 )
 PIT_COLUMNS = "season race_name driver pit_count avg_pit_window* undercut_success_rate* pit_stop_efficiency_score* strategy_type"
 laps_query("driver_analytics", DRIVER_COLUMNS, "driver_analytics", DRIVERS)
-laps_query(
-    "tire_analytics",
-    "season race_name driver compound avg_lap_time* tire_degradation_rate* max_stint_length* compound_usage_pct*",
-    "tire_analytics", TIRES,
-)
+TIRE_COLUMNS = "season race_name driver compound avg_lap_time* tire_degradation_rate* max_stint_length* compound_usage_pct*"
+laps_query("tire_analytics", TIRE_COLUMNS, "tire_analytics", TIRES)
 laps_query("pitstop_analytics", PIT_COLUMNS, "pitstop_analytics", PITS)
 laps_query("race_analytics", RACE_COLUMNS, "race_analytics", RACES)
 laps_query("compound_usage", f"{RACE} compound compound_usage_pct*", "usage", USAGE)
@@ -358,7 +357,7 @@ laps_query(
     OVERRIDES,
 )
 laps_query(
-    "impute_median", f"{RAW_LAP} lap_time_seconds* tyre_life* position* air_temp* humidity*", f"({_filled('typed')})", TYPED
+    "impute_median", f"{RAW_LAP} {' '.join(c + '*' for c in FILLED)}", f"({_filled('typed')})", TYPED
 )
 ORACLE["column_medians"] = over_laps(
     f"SELECT \"column\", {tidy('median')} AS median FROM ("
@@ -373,12 +372,23 @@ laps_query(
     RAW,
 )
 laps_query("clean_laps", starred(TYPED_COLUMNS), "cleaned", CLEANED)
+def cleaned(cte: str, driver: str = "driver") -> str:
+    """A CTE over the lap table, read from the cleaned laps instead."""
+    return re.sub(r"\bdriver\b", driver, re.sub(r"\blaps\b", "cleaned", cte))
+
+
 laps_query(
     "silver_pipeline",
-    f"{RAW_LAP} position_change* stint_length* sector1_delta* circuit_performance_score*",
-    "(SELECT *, grid_position - final_position AS position_change, max(tyre_life) OVER (PARTITION BY race_name, driver, stint) AS stint_length FROM measured)",
-    CLEANED, measured("cleaned", "race_name", "lap_number, season, driver_number"),
+    f"{RAW_LAP} position_change* stint_length* tire_degradation_rate* sector1_delta* sector2_delta* sector3_delta* "
+    "race_pace_index* race_pace_delta* circuit_performance_score*",
+    "(SELECT m.*, grid_position - final_position AS position_change, stint_length, tire_degradation_rate "
+    "FROM measured m LEFT JOIN stints USING (race_name, driver, stint))",
+    CLEANED, cleaned(STINTS), measured("cleaned", "race_name", "lap_number, season, driver_number"),
 )
+laps_query("gold_from_raw_driver", DRIVER_COLUMNS, "driver_analytics", CLEANED, cleaned(DRIVERS))
+laps_query("gold_from_raw_tire", TIRE_COLUMNS, "tire_analytics", CLEANED, cleaned(TIRES))
+laps_query("gold_from_raw_pitstop", cleaned(PIT_COLUMNS, "driver_number"), "pitstop_analytics", CLEANED, cleaned(PITS, "driver_number"))
+laps_query("gold_from_raw_race", cleaned(RACE_COLUMNS, "driver_number"), "race_analytics", CLEANED, cleaned(RACES, "driver_number"))
 
 
 def null_share(columns: list[str], source: str, doubles: set[str], label: str = "column_name", value: str = "null_pct") -> str:
@@ -415,6 +425,15 @@ UNION ALL SELECT 'invalid_tire_compounds', compound, NULL FROM (SELECT DISTINCT
     TYPED,
 )
 
+ORACLE["dq_document"] = over_laps(
+    f"""SELECT n AS row_count, {len(TYPED_COLUMNS)}::BIGINT AS column_count, duplicate_rows AS duplicate_laps, bad AS invalid_lap_times,
+  coalesce(wrong, '') AS invalid_tire_compounds, column_name, null_pct
+FROM (SELECT count(*) AS n, count(*) FILTER (lap_time_seconds <= 0 OR lap_time_seconds > 300) AS bad,
+    string_agg(DISTINCT compound, ',' ORDER BY compound) FILTER (upper(compound) NOT IN ('SOFT', 'MEDIUM', 'HARD', 'INTERMEDIATE', 'WET', 'UNKNOWN')) AS wrong FROM typed),
+  ({repeated('typed', 'race_name', 'driver', 'lap_number')}), ({null_share(TYPED_COLUMNS, 'typed', set())})""",
+    TYPED,
+)
+
 # --- assembly, selection, sinks ------------------------------------------------
 
 ORACLE["union_by_name"] = over_laps(
@@ -450,6 +469,17 @@ ORACLE["per_group_split"] = over_laps(
     f"SELECT {shown(LAP)}, 'processed_' || lower(race_name) || '_' || season AS race_slug FROM laps WHERE race_name <> 'R0'"
 )
 
+ORACLE["saved_selection"] = over_laps(
+    f"""SELECT {shown(LAP)} FROM laps WHERE season = 2023 AND race_name IN (
+  SELECT race_name FROM schedule WHERE season = 2023 AND round > 0 ORDER BY round LIMIT 2)""",
+    SCHEDULE,
+)
+ORACLE["raw_race_read"] = over_laps(
+    f"""SELECT season, race_name, driver AS "Driver", {tidy('lap_number')} AS "LapNumber", lap_time AS "LapTime", compound AS "Compound",
+  {tidy('CASE WHEN NOT isnan(tyre_life) THEN tyre_life END')} AS "TyreLife", {tidy('CASE WHEN NOT isnan(position) THEN position END')} AS "Position" FROM raw""",
+    RAW,
+)
+
 # --- analysis pages ------------------------------------------------------------
 
 ORACLE["race_overview"] = over_laps(
@@ -475,6 +505,13 @@ ORACLE["ols_trendline"] = over_laps(
     regr_intercept(lap_time_seconds, tyre_life) AS intercept, regr_r2(lap_time_seconds, tyre_life) AS r2, count(*) AS laps
   FROM laps WHERE lap_time_seconds IS NOT NULL AND tyre_life IS NOT NULL GROUP BY season, race_name, compound, driver)"""
 )
+laps_query("one_race_page", DRIVER_COLUMNS, "driver_analytics WHERE season = 2023 AND race_name = 'R1'", DRIVERS)
+for _name, _whole, _chosen in (
+    ("chosen_drivers_pace", "driver_pace_series", "driver IN ('D1', 'D7', 'D12')"),
+    ("chosen_drivers_comparison", "driver_comparison", "driver IN ('D1', 'D7', 'D12')"),
+    ("chosen_compound_trendline", "ols_trendline", "compound = 'SOFT'"),
+):
+    ORACLE[_name] = f"SELECT * FROM ({ORACLE[_whole]}) WHERE {_chosen}"
 ORACLE["distinct_races"] = over_laps(f"SELECT DISTINCT season, race_name, {LABEL} FROM laps")
 ORACLE["distinct_values"] = over_laps("SELECT DISTINCT driver FROM laps")
 laps_query("distinct_usage", f"{RACE} compound compound_usage_pct*", "usage", USAGE)
@@ -507,6 +544,9 @@ ORACLE["ml_split"] = over_laps(
   THEN 'holdout' ELSE 'train' END AS part FROM laps"""
 )
 
+ORACLE["ml_scored_rows"] = over_laps(f"SELECT {KEYS}, TRUE AS scored FROM laps")
+ORACLE["ml_evaluated_rows"] = f"SELECT count(*) AS rows, TRUE AS consistent FROM ({ORACLE['ml_split']}) WHERE part = 'holdout'"
+
 # --- other tables --------------------------------------------------------------
 
 ORACLE["star_usage_share"] = f"""

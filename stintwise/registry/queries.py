@@ -18,7 +18,7 @@ from ..operators import assembly, cleaning, features, quality, selection, transf
 from ..operators.median import exact_medians
 from ..operators.ordered import rank_within
 from ..plans import gold, model, reports, silver, views
-from ..sources import catalog, sinks
+from ..sources import catalog, readers, sinks
 from ..sources.readers import nan_to_null
 from .workspace import Workspace
 
@@ -254,9 +254,9 @@ def override_lookup(ws):
 
 @query
 def impute_median(ws):
-    return cleaning.fill_medians(_typed(ws)).select(
-        "season", "race_name", "driver_number", "lap_number", "lap_time_seconds", "tyre_life", "position", "air_temp", "humidity"
-    )
+    typed = _typed(ws)
+    filled = [c for c in cleaning.MEDIAN_COLUMNS if c in typed.columns]
+    return cleaning.fill_medians(typed).select("season", "race_name", "driver_number", "lap_number", *filled)
 
 
 @query
@@ -291,15 +291,36 @@ def clean_laps(ws):
 
 @query
 def silver_pipeline(ws):
-    laps = silver.silver_laps(
-        nan_to_null(ws.raw()), ws.overrides(), stage=ws.cleaned, order=("lap_number", "season", "driver_number")
-    )
-    return laps.select(
-        "season", "race_name", "driver_number", "lap_number", "position_change", "stint_length",
-        "sector1_delta", "circuit_performance_score",
+    return ws.engineered_from_raw().select(
+        "season", "race_name", "driver_number", "lap_number", "position_change", "stint_length", "tire_degradation_rate",
+        "sector1_delta", "sector2_delta", "sector3_delta", "race_pace_index", "race_pace_delta", "circuit_performance_score",
     )
 
 
+# Cleaning names a lost driver "Unknown", so the tables that look along a driver's laps go by number.
+BY_NUMBER = ("season", "race_name", "driver_number")
+
+
+@query
+def gold_from_raw_driver(ws):
+    return gold.driver_analytics(ws.engineered_from_raw())
+
+
+@query
+def gold_from_raw_tire(ws):
+    return gold.tire_analytics(ws.engineered_from_raw())
+
+
+@query
+def gold_from_raw_pitstop(ws):
+    return gold.pitstop_analytics(ws.engineered_from_raw(), BY_NUMBER)
+
+
+@query
+def gold_from_raw_race(ws):
+    return gold.race_analytics(ws.engineered_from_raw(), BY_NUMBER)
+
+
 # --- quality -------------------------------------------------------------------
 
 RAW_KEYS = ("race_name", "driver", "lap_number")
@@ -330,6 +351,18 @@ def dq_report(ws):
     return quality.quality_rows(_typed(ws), RAW_KEYS)
 
 
+@query
+def dq_document(ws):
+    """The nested report written as JSON and read back, a row for each column's null share."""
+    path = f"{ws.folder()}/quality"
+    rows = quality.quality_rows(_typed(ws), RAW_KEYS)
+    sinks.write_quality_report(rows, path)
+    read = ws.spark.read.schema(quality.quality_document(rows).schema).json(path)
+    wrong = F.array_join("invalid_tire_compounds", ",").alias("invalid_tire_compounds")
+    counts = ["row_count", "column_count", "duplicate_laps", "invalid_lap_times"]
+    return read.select(*counts, wrong, F.explode("null_percentages").alias("column_name", "null_pct"))
+
+
 # --- assembly and selection ----------------------------------------------------
 
 
@@ -375,6 +408,25 @@ def select_season(ws):
     return selection.whole_season(ws.schedule())
 
 
+@query
+def saved_selection(ws):
+    """Laps of the races of one season that an earlier session chose and kept."""
+    path = f"{ws.folder()}/selection"
+    selection.save_selection(selection.first_races(ws.schedule(), 2, season=2023), path)
+    return selection.keep_selected(ws.laps(), selection.saved_selection(ws.spark, path)).select(LAP)
+
+
+@query
+def raw_race_read(ws):
+    """Every race written to a file of its own and read by list; one listed race has no file."""
+    base, raw = f"{ws.folder()}/raw", ws.raw()
+    races = [(r["season"], r["EventName"]) for r in ws.schedule().collect()]  # a calendar
+    for season, race_name in races:
+        sinks.write_table(views.one_race(raw, season, race_name), readers.race_file(base, season, race_name))
+    read = readers.require_columns(readers.read_races(ws.spark, base, [*races, (1949, "No Race")]))
+    return read.select(*RACE, "Driver", "LapNumber", "LapTime", "Compound", "TyreLife", "Position")
+
+
 @query
 def race_slug(ws):
     long_name = F.concat(F.lit("Grand Prix "), "EventName")
@@ -441,6 +493,29 @@ def ols_trendline(ws):
     return views.wear_trendlines(ws.laps())
 
 
+@query
+def one_race_page(ws):
+    return views.one_race(ws.gold("driver_analytics"), 2023, "R1")
+
+
+CHOSEN = ["D1", "D7", "D12"]
+
+
+@query
+def chosen_drivers_pace(ws):
+    return views.pace_series(ws.laps(), CHOSEN)
+
+
+@query
+def chosen_drivers_comparison(ws):
+    return views.driver_comparison(ws.gold("driver_analytics"), CHOSEN)
+
+
+@query
+def chosen_compound_trendline(ws):
+    return views.wear_trendlines(ws.laps(), "SOFT")
+
+
 @query
 def distinct_races(ws):
     return views.distinct_races(ws.laps())
@@ -516,6 +591,21 @@ def ml_predictions(ws):
     return model.predict(ws.model(), ws.model_rows())
 
 
+@query
+def ml_scored_rows(ws):
+    """Whether each lap has a finite prediction."""
+    p = F.col("prediction")
+    finite = p.isNotNull() & ~F.isnan(p) & (F.abs(p) < float("inf"))
+    return model.predict(ws.model(), ws.model_rows()).select(*[f"key_{c}" for c in LAP], finite.alias("scored"))
+
+
+@query
+def ml_evaluated_rows(ws):
+    """Holdout laps behind the metrics, and what holds of any such metrics."""
+    found = model.evaluate(ws.model(), ws.holdout_split()[1])
+    return found.select("rows", ((F.col("rmse") >= F.col("mae")) & (F.col("mae") >= 0) & (F.col("r2") <= 1)).alias("consistent"))
+
+
 # --- the same operators on other tables ----------------------------------------
 
 

@@ -20,6 +20,7 @@ from ..plans import gold, model, silver
 from ..session import shared_dir
 from ..sources import lap_events as source
 from ..sources.catalog import GOLD_SCHEMAS, as_gold
+from ..sources.readers import nan_to_null
 from ..sources.sinks import write_partitioned
 
 _written: dict[str, object] = {}
@@ -59,13 +60,26 @@ class Workspace:
     def cleaned(self, laps: DataFrame) -> DataFrame:
         return self._table("cleaned", lambda: laps)
 
+    def filled(self) -> DataFrame:
+        return self._table("filled", lambda: fill_medians(self.laps()))
+
+    def engineered_from_raw(self) -> DataFrame:
+        """Raw laps cleaned, measured and engineered; laps of a race are in order by driver number."""
+        raw = nan_to_null(self.raw())
+        order = ("lap_number", "season", "driver_number")
+        return self._table("engineered_from_raw", lambda: silver.silver_laps(raw, self.overrides(), stage=self.cleaned, order=order))
+
     def gold(self, table: str) -> DataFrame:
         build = getattr(gold, table)
         return self._table(table, lambda: as_gold(build(self.engineered()), table))
 
-    def gold_folder(self) -> str:
+    def folder(self) -> str:
         if self.base is None:
             raise ValueError("spark.checkpoint.dir must name a shared folder for tables that are written and read back")
+        return self.base
+
+    def gold_folder(self) -> str:
+        self.folder()
         for table in GOLD_SCHEMAS:
             self.gold(table)
         return self.base
@@ -87,7 +101,7 @@ class Workspace:
 
     def model_rows(self) -> DataFrame:
         keep = [F.col(c).alias(f"key_{c}") for c in LAP_KEY]
-        return model.features(fill_medians(self.laps()), keep)
+        return model.features(self.filled(), keep)
 
     def holdout_split(self) -> tuple[DataFrame, DataFrame]:
         return model.split(self.model_rows(), [f"key_{c}" for c in LAP_KEY])

@@ -90,6 +90,20 @@ def test_median_of_many_rows_with_heavy_ties(spark):
     assert got == float(np.median(df.toPandas().x))
 
 
+@pytest.mark.parametrize("most_rows", [50, 1_000_000])
+def test_medians_by_narrowing_brackets(spark, most_rows):
+    """Outliers, ties, constants, nulls and NaN, with brackets that must shrink and with one that need not."""
+    rng = np.random.default_rng(1)
+    rows = [
+        (float(rng.normal()), float(i % 4), 5.0, None if i % 2 else 1e300 * float(rng.random()), float("nan") if i % 3 else 1.0, -1.0 if i < 2500 else 1.0 + i)
+        for i in range(5000)
+    ]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f double").repartition(4)
+    got = {r["column"]: r["median"] for r in exact_medians(df, list("abcdef"), most_rows).collect()}
+    assert np.isnan(got.pop("e"))
+    assert got == {c: float(np.median([r["abcdef".index(c)] for r in rows if r["abcdef".index(c)] is not None])) for c in "abcdf"}
+
+
 def test_trendline(spark, laps):
     got = by(features.trendlines(laps, ["driver"]), "driver")
     for driver, group in laps.select("driver", "tyre_life", "lap_time_seconds").toPandas().dropna().groupby("driver"):
