@@ -1,15 +1,16 @@
 """Packing by lexical retrieval: a sharded BM25 index names the neighbours that fill a seed document's window.
 
 Documents become token ids, closed by an end id. Term statistics (document frequencies, mean length) come from all
-documents. Documents are dealt over shards of about ``shard_docs`` by a hash; each shard holds an inverted index of its
-own over what is left of its documents after their full windows. In turn the next unused document seeds a window and its
-terms are looked up; unused neighbours follow by BM25 score until the window is full, the last one cut, its rest still
-unused. So every window is full but the last of a shard, which is cut into powers of two and needs no padding either.
+documents. Documents are dealt over shards of about ``shard_docs`` by content: a tree of splits, learnt on a sample, over
+projected term weights gives the coarse place, a weighted min-hash of the terms the fine one, and documents next to each
+other in that order share a shard. Each shard holds an inverted index of its own over what is left of its documents after
+their full windows. In turn the next unused document seeds a window and its terms are looked up; unused neighbours follow
+by BM25 score until the window is full, the last one cut, its rest still unused. So every window is full but the last of a
+shard, which is cut into powers of two and needs no padding either.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from itertools import chain
 
@@ -25,6 +26,8 @@ from .common import small_batches, staged, texts_of
 LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
 CHUNK = re.compile(LETTERS + r"(?![^ \t-\r!-/:-@\[-`{-~])|[^ \t-\r]+")
 WORD = re.compile(LETTERS)
+TERMS = 1 << 16  # rows of the projection; a term id beyond takes the row of its rest
+LEVELS, FINE = 8, 12  # bits of a bucket: leaf of the tree, hash of the leading term
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -93,20 +96,125 @@ class Chunks(dict):
 _chunks: dict[tuple, Chunks] = {}
 
 
-def token_ids(docs: DataFrame, path: str, end: int, cache: int = 300_000) -> DataFrame:
-    """``doc_id, row, ids`` (packed unsigned 32-bit, the end id last) for every row; null is the empty text."""
+def _encoder(path: str, cache: int) -> Chunks:
+    if (path, cache) not in _chunks:
+        _chunks[path, cache] = Chunks(path, cache)
+    return _chunks[path, cache]
+
+
+def term_counts(ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, term and count of every distinct term of each document, in order of documents."""
+    pair, count = np.unique(np.repeat(np.arange(len(n)) * TERMS, n) + ids % TERMS, return_counts=True)
+    return pair // TERMS, pair % TERMS, count
+
+
+class Places:
+    """Bucket of a document by its content: leaf of a tree of splits over projected term weights, then its leading term.
+
+    A node splits the sample's documents at the median along the direction in which they differ most. The leading term
+    is drawn by a min-hash weighted with the square of the BM25 weight, alike for documents with like terms.
+    """
+
+    def __init__(self, doc: np.ndarray, term: np.ndarray, count: np.ndarray, n: int, dims: int = 32):
+        seen = np.bincount(term, minlength=TERMS)
+        self.idf, self.dims = np.log1p((n - seen + 0.5) / (seen + 0.5)), dims
+        self.mean = max(1.0, count.sum() / max(1, n))
+        self.direction, self.middle = np.zeros((1 << LEVELS, dims), np.float32), np.zeros(1 << LEVELS, np.float32)
+        vectors, node = self.vectors(doc, self.weights(doc, term, count, n), term, n), np.ones(n, np.int64)
+        start = np.random.default_rng(7).standard_normal(dims).astype(np.float32)
+        for at in range(1, 1 << LEVELS):
+            own = np.flatnonzero(node == at)
+            if len(own):
+                away, line = vectors[own] - vectors[own].mean(axis=0), start
+                for _ in range(8):
+                    line = away.T @ (away @ line)
+                    line /= max(float(np.linalg.norm(line)), 1e-9)
+                self.direction[at], self.middle[at] = line, np.median(vectors[own] @ line)
+                node[own] = 2 * at + (vectors[own] @ line > self.middle[at])
+
+    def weights(self, doc: np.ndarray, term: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
+        """BM25 weight of each term in its document."""
+        length = np.bincount(doc, count, n)
+        return self.idf[term] * count * 2.2 / (count + 1.2 * (0.25 + 0.75 * length[doc] / self.mean))
+
+    def vectors(self, doc: np.ndarray, weight: np.ndarray, term: np.ndarray, n: int) -> np.ndarray:
+        if not hasattr(self, "table"):
+            self.table = np.random.default_rng(11).standard_normal((TERMS, self.dims)).astype(np.float32)
+        own, first = np.unique(doc, return_index=True)
+        out = np.zeros((n, self.dims), np.float32)
+        if len(own):
+            out[own] = np.add.reduceat(self.table[term] * weight[:, None].astype(np.float32), first)
+        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("table", "draw")}  # made again from their seeds
+
+    def buckets(self, ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Bucket of each document, given all term ids end to end and how many each has."""
+        doc, term, count = term_counts(ids, n)
+        weight = self.weights(doc, term, count, len(n))
+        vectors, node = self.vectors(doc, weight, term, len(n)), np.ones(len(n), np.int64)
+        for _ in range(LEVELS):
+            node = 2 * node + (np.einsum("ij,ij->i", vectors, self.direction[node]) > self.middle[node])
+        if not hasattr(self, "draw"):
+            self.draw = np.random.default_rng(13).exponential(size=TERMS)
+        drawn = self.draw[term] / np.maximum(weight, 1e-9) ** 2
+        own, first = np.unique(doc, return_index=True)
+        leading = np.zeros(len(n), np.int64)
+        if len(own):
+            least = np.flatnonzero(drawn == np.repeat(np.minimum.reduceat(drawn, first), np.diff(np.r_[first, len(doc)])))
+            leading[doc[least[::-1]]] = term[least[::-1]]
+        return (node - (1 << LEVELS) << FINE) + (leading * 40503 % TERMS >> 16 - FINE)
+
+
+def places(docs: DataFrame, path: str, sample: int, cache: int = 300_000) -> Places:
+    """``Places`` learnt on about ``sample`` of the rows, by a hash of where they stand."""
+    every = max(1, docs.count() // sample)
 
     def run(batches):
-        if (path, cache) not in _chunks:
-            _chunks[path, cache] = Chunks(path, cache)
         for batch in small_batches(batches, "text", 2 << 20):
-            ids, n = _chunks[path, cache].encoded(texts_of(batch))
+            ids, n = _encoder(path, cache).encoded(texts_of(batch))
+            doc, term, count = term_counts(ids, n)
+            cuts = np.searchsorted(doc, np.arange(1, len(n)))
+            own = [pa.array([c.astype("<i4").tobytes() for c in np.split(x, cuts)], pa.binary()) for x in (term, count)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *own], ["row", "terms", "counts"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("text").cast("string").alias("text"))
+    some = rows.where(F.pmod(F.xxhash64("row"), F.lit(every)) == 0).mapInArrow(run, "row long, terms binary, counts binary").toArrow().sort_by("row")
+    terms, counts = ([np.frombuffer(b, "<i4") for b in some.column(c).to_pylist()] for c in ("terms", "counts"))
+    n = np.fromiter(map(len, terms), np.int64, len(terms))
+    flat = [np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64) for x in (terms, counts)]
+    return Places(np.repeat(np.arange(len(n)), n), *flat, len(n))
+
+
+def token_ids(docs: DataFrame, path: str, end: int, learnt: Places, cache: int = 300_000) -> DataFrame:
+    """``doc_id, row, bucket, ids`` (packed unsigned 32-bit, the end id last) for every row; null is the empty text."""
+    shared = docs.sparkSession.sparkContext.broadcast(learnt)
+
+    def run(batches):
+        for batch in small_batches(batches, "text", 2 << 20):
+            ids, n = _encoder(path, cache).encoded(texts_of(batch))
             cuts = np.split(ids, np.cumsum(n)[:-1])
             own = pa.array([np.append(c, end).astype("<u4").tobytes() for c in cuts], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), own], ["doc_id", "row", "ids"])
+            bucket = pa.array(shared.value.buckets(ids, n), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), bucket, own], ["doc_id", "row", "bucket", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, row long, ids binary")
+    return rows.mapInArrow(run, "doc_id long, row long, bucket long, ids binary")
+
+
+def deal(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """First shard and number of shards of each bucket, given the buckets' sizes in order.
+
+    Neighbouring buckets are gathered, whole, into shards of about ``most`` (less than twice as many at worst); a larger
+    bucket is divided over as many shards of its own as it needs.
+    """
+    parts = np.where(sizes > most, -(-sizes // most), 1)
+    small = np.where(sizes > most, 0, sizes)
+    middle = (2 * np.cumsum(small) - small) // (2 * most)
+    base = int(middle.max(initial=0)) + 1
+    first = np.where(sizes > most, base + np.cumsum(np.where(sizes > most, parts, 0)) - parts, middle)
+    return first, parts
 
 
 def term_statistics(encoded: DataFrame) -> tuple[int, float, np.ndarray]:
@@ -208,18 +316,21 @@ def powers_of_two(tail: list, filled: int, sequence: int) -> list:
     return out
 
 
-def pack_documents(docs: DataFrame, path: str, window: int = 2048, end: int = 1, shard_docs: int = 1000) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, window: int = 2048, end: int = 1, shard_docs: int = 1000, sample: int = 4000) -> DataFrame:
     """Pieces of all documents: ``doc_id, start, length, doc_tokens, sequence_id, offset, ids``, ids packed as 32-bit.
 
     Null and empty texts are the end id alone. Each row is packed by itself, also where rows repeat or have no id. An
     empty table gives no piece.
     """
     spark = docs.sparkSession
-    encoded = staged(token_ids(docs, path, end), "pack-ids")
+    encoded = staged(token_ids(docs, path, end, places(docs, path, sample)), "pack-ids")
     n, mean, seen = term_statistics(encoded)
     idf = np.log1p((n - seen + 0.5) / (seen + 0.5))
     shared = spark.sparkContext.broadcast((idf, mean))
-    shards = max(1, math.ceil(n / shard_docs))
+    sizes = encoded.groupBy("bucket").count().toArrow().sort_by("bucket")  # at most 2 ** (LEVELS + FINE) rows
+    first, parts = deal(sizes.column("count").to_numpy(), shard_docs)
+    plan = pa.table({"place": sizes.column("bucket"), "first": pa.array(first, pa.int64()), "parts": pa.array(parts, pa.int64())})
+    shards = F.broadcast(spark.createDataFrame(plan, "place long, first long, parts long"))
 
     def pack(group: pa.Table) -> pa.Table:
         frame = group.select(["shard", "doc_id", "row"]).to_pandas().reset_index()
@@ -236,5 +347,5 @@ def pack_documents(docs: DataFrame, path: str, window: int = 2048, end: int = 1,
         ]
         return pa.Table.from_arrays(columns, ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
-    dealt = encoded.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
+    dealt = encoded.join(shards, F.col("bucket") == F.col("place")).select("doc_id", "row", "ids", (F.col("first") + F.pmod(F.xxhash64("row"), "parts")).alias("shard"))
     return dealt.groupBy("shard").applyInArrow(pack, PIECES)

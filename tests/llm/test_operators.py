@@ -181,6 +181,29 @@ def test_packing_is_a_round_trip(docs, empty):
     assert packing.pack_documents(empty, WORDS).count() == 0
 
 
+def test_packing_deals_like_documents_to_one_shard(spark):
+    """Pairs of documents that share their words stand far apart in the table; chance puts 2 % of them into one shard."""
+    random.seed(11)
+    words = ["".join(random.choices("abcdefghijklmnoprstuvz", k=6)) for _ in range(3000)]
+    own = [random.sample(words, 12) for _ in range(500)]
+    rows = [(i, " ".join(random.sample(own[i % 500], 11)), "en", "a") for i in range(1000)]
+    pieces = packing.pack_documents(table(spark, rows), WORDS, window=256, shard_docs=20).collect()
+    shard = {r.doc_id: r.sequence_id >> 32 for r in pieces}
+    assert sum(shard[i] == shard[i + 500] for i in range(500)) >= 200
+    assert max(Counter(shard.values()).values()) < 40
+
+
+def test_packing_shards_are_bounded_by_size():
+    sizes = np.array([3, 1, 70, 2, 4, 10, 1, 1, 25, 9])
+    first, parts = packing.deal(sizes, 10)
+    assert parts.tolist() == [1, 1, 7, 1, 1, 1, 1, 1, 3, 1]
+    held = Counter()
+    for size, f, p in zip(sizes.tolist(), first.tolist(), parts.tolist()):
+        for k in range(p):
+            held[f + k] += -(-size // p)
+    assert max(held.values()) < 20 and np.diff(first[parts == 1]).min() >= 0
+
+
 def fingerprint(text):
     words = text.encode().lower().split()
     parts = [b" ".join(words[i : i + 4]) for i in range(len(words) - 3)] or ([b" ".join(words)] if words else [])
