@@ -13,6 +13,7 @@ from stintwise.llm.mixing import mix_sources
 from stintwise.llm.packing import pack_documents
 from stintwise.llm.quality import score_quality, train_quality
 from stintwise.llm.simhash import simhash_groups
+from stintwise.llm.similar import similar_to_lower
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -46,6 +47,12 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(lowest, docs["doc_id"].cast("long").eqNullSafe(lowest["lowest"]), "left_semi")
 
 
+def similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What SimHash leaves, less each document of which 0.8 or more of the five-word shingles are those of one with a smaller id."""
+    gone = similar_to_lower(docs)
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["similar_id"], "left_anti")
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once or twice, by the nearest whole number.
 
@@ -63,7 +70,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), window=2048, end=1)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality", quality), ("exact", exact), ("near", near), ("mixed", mixed), ("packed", packed)]
+STAGES: list[tuple[str, Stage]] = [("quality", quality), ("exact", exact), ("near", near), ("similar", similar), ("mixed", mixed), ("packed", packed)]
 
 #: No SQL: the classifier, the fingerprints and the packing are beyond it; tests/llm hold each stage against brute force.
 ORACLE_SQL: str | None = None

@@ -42,10 +42,10 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def fingerprint_hashes(text: bytes) -> list[int]:
+def fingerprint_hashes(text: bytes, shingle: int = SHINGLE) -> list[int]:
     """XXH64 of each shingle of the lower-cased words of one text."""
     words = text.lower().split()
-    if len(words) <= SHINGLE:
+    if len(words) <= shingle:
         return [xxhash.xxh64_intdigest(b" ".join(words), 42)] if words else []
     joined = b" ".join(words)
     starts, at = [], 0
@@ -53,7 +53,7 @@ def fingerprint_hashes(text: bytes) -> list[int]:
         starts.append(at)
         at += len(word) + 1
     digest = xxhash.xxh64_intdigest
-    return [digest(joined[s : e - 1], 42) for s, e in zip(starts, [*starts[SHINGLE:], at])]
+    return [digest(joined[s : e - 1], 42) for s, e in zip(starts, [*starts[shingle:], at])]
 
 
 def majority(hashes: list[int], n: np.ndarray) -> np.ndarray:

@@ -1,5 +1,6 @@
 """Each pipeline stage against brute force, and on rows with nulls, repeats, no rows and clashing column names."""
 
+import random
 from collections import Counter
 
 import corpus_pipeline
@@ -62,6 +63,34 @@ def test_near_keeps_the_smallest_id_of_a_component(spark, docs):
     assert ids(STAGES["near"](spark, docs, SMALL_DIR)) == Counter(set(low.tolist()))
 
 
+def shingles(text):
+    words = lowered(text).split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def alike(one, two):
+    return len(one & two) >= 0.8 * len(one | two) > 0
+
+
+def test_similar_leaves_no_near_copy_behind(spark, docs):
+    """Two scattered words of 200 differ, similarity 0.9: mostly more than 4 bits apart, so the SimHash stage keeps them."""
+    random.seed(4)
+    rows = []
+    for i in range(40):
+        words = [f"w{random.randrange(10**6)}" for _ in range(200)]
+        rows.append((i, " ".join(words)))
+        words[50 + i], words[150] = "other", "words"
+        rows.append((100 + i, " ".join(words)))
+    edited = spark.createDataFrame(rows, "doc_id long, text string")
+    after = STAGES["near"](spark, edited, SMALL_DIR)
+    assert after.count() > 45
+    assert ids(STAGES["similar"](spark, after, SMALL_DIR)) == Counter(range(40))
+    whole = [(r.doc_id, shingles(r.text)) for r in docs.collect()]
+    stay = set(ids(STAGES["similar"](spark, docs, SMALL_DIR)))
+    tied = {i: {j for j, t in whole if j < i and alike(s, t)} for i, s in whole}
+    assert all(not tied[i] & stay for i in stay) and all(tied[i] for i, _ in whole if i not in stay) and len(stay) < len(whole)
+
+
 def test_mixed_takes_whole_documents(spark, docs):
     times = Counter()
     for r in mix_sources(docs).collect():
