@@ -16,9 +16,11 @@ from .mixing import mix_sources
 from .nearest import nearest
 from .packing import pack_documents
 from .quality import quality_scores
+from .rules import quality_rules
 from .simhash import hex_digits, simhash_groups
 from .suffix_dedup import suffix_dedup
 from .token_counts import token_counts
+from .whitening import whiten
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -81,6 +83,16 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), most=8)
+
+
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": """
         WITH d AS (
