@@ -16,6 +16,7 @@ from .mixing import mix_sources
 from .nearest import nearest
 from .packing import pack_documents
 from .quality import quality_scores
+from .repair import repaired_conversations
 from .rules import quality_rules
 from .simhash import hex_digits, simhash_groups
 from .suffix_dedup import suffix_dedup
@@ -88,6 +89,11 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@query
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 @query
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), most=8)
