@@ -40,12 +40,6 @@ def epoch_micros(ts: Column) -> Column:
     return epoch_minutes(ts) * 60_000_000 + micros_of_minute(ts)
 
 
-def time_levels(name: str) -> list[Column]:
-    """Ever finer buckets of a timestamp column: day, hour, minute, second, then tenths down to a microsecond."""
-    micros, minutes = micros_of_minute(F.col(name)), epoch_minutes(F.col(name))
-    return [F.floor(minutes / 1440), F.floor(minutes / 60), minutes, *[F.floor(micros / 10**power) for power in range(6, -1, -1)]]
-
-
 def consistency_index(std: Column) -> Column:
     """100 / std to two places; 0.0 where there is no spread to speak of."""
     return F.when(std.isNull() | (std == 0), F.lit(0.0)).otherwise(F.round(F.lit(100.0) / std, 2))

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import time_levels
 from .hot import HOT_ROWS, all_known, join_back
 from .ordered import running
 
@@ -29,8 +28,7 @@ def asof_join(
     left_time: str,
     right_time: str,
     values: Sequence[str],
-    levels: Callable[[str], Sequence[Column]] = time_levels,
-    crowded_rows: int = HOT_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Each left row with the latest right row of its group at or before its time.
 
@@ -38,22 +36,18 @@ def asof_join(
     time the largest by ``values`` does. Left rows with no earlier right row,
     or with a null key or time, get nulls.
 
-    Only the distinct (keys, time) pairs of both sides are put in order, with
-    ``running`` carrying the last right row from bucket to bucket, so neither
-    the size of a group nor many rows at one time matter. ``levels`` maps a
-    time column to the buckets of ``add_cells``.
+    Both sides go through one exchange as one sequence, right rows before left rows of the same time, and each left row
+    takes the last right row before it; nothing is joined back. A hot group is dealt over ranges of time, and one
+    row a range carries the last right row on.
     """
-    known = all_known([*keys, left_time])
-    asked = left.where(known).select(*keys, F.col(left_time).alias("__t"), F.lit(None).alias("__sample"))
+    kept = [c for c in left.columns if c not in values]
+    asked = left.select(*kept, F.col(left_time).alias("__t"), F.lit(1).alias("__side"))
     samples = right.where(all_known([*keys, right_time])).select(
-        *keys, F.col(right_time).alias("__t"), F.struct(*values).alias("__sample")
+        *keys, F.col(right_time).alias("__t"), F.lit(0).alias("__side"), F.struct(*values).alias("__sample")
     )
-    moments = asked.unionByName(samples).groupBy(*keys, "__t").agg(F.max("__sample").alias("__sample"))
-    scanned = running(
-        moments, keys, ["__t"], levels("__t"), latest={"__found": F.col("__sample")}, crowded_rows=crowded_rows
-    )
-    found = scanned.select(*keys, F.col("__t").alias(left_time), *[F.col(f"__found.{v}").alias(v) for v in values])
-    return join_back(left, found, [*keys, left_time])
+    both = asked.unionByName(samples, allowMissingColumns=True)
+    scanned = running(both, keys, ["__t", "__side", "__sample"], latest={"__found": F.col("__sample")}, hot_rows=hot_rows)
+    return scanned.where(F.col("__side") == 1).select(*kept, *[F.col(f"__found.{v}").alias(v) for v in values])
 
 
 def complete_positions(

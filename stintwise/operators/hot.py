@@ -39,12 +39,12 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int, **stats: Colum
     return prefixed(counted.where(F.col("hot_count") > hot_rows), keys, "hot_")
 
 
-def any_hot(df: DataFrame, keys: Sequence[str], hot_rows: int) -> bool:
-    """Whether some group exceeds ``hot_rows``: one job over the key columns.
+def rows_in_hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> int:
+    """How many rows are in groups that exceed ``hot_rows``: one job over the key columns.
 
     Asking first keeps the plan of ordinary data to a single window.
     """
-    return not hot_groups(df, keys, hot_rows).isEmpty()
+    return hot_groups(df, keys, hot_rows).agg(F.coalesce(F.sum("hot_count"), F.lit(0))).first()[0]
 
 
 def split_hot(
@@ -61,32 +61,6 @@ def split_hot(
     return ordinary, large
 
 
-def add_cells(
-    df: DataFrame, keys: Sequence[str], levels: Sequence[Column], cell: str = "__cell", crowded_rows: int = HOT_ROWS
-) -> DataFrame | None:
-    """Add an ordered bucket of each row within its group; None if no group needs any.
-
-    ``levels`` run from coarse to fine, each non-decreasing along the order of
-    the group inside one bucket of the levels before. A level applies only
-    inside groups, then buckets, with more than ``crowded_rows`` rows: a burst
-    is divided further while ordinary groups stay whole.
-    """
-    parts: list[str] = []
-    for depth, level in enumerate(levels):
-        # At most rows / crowded_rows buckets, kept for the plan built on them.
-        crowded = hot_groups(df, [*keys, *parts], crowded_rows).persist()
-        if crowded.isEmpty():
-            crowded.unpersist()
-            break
-        on = same_keys([*keys, *parts], "hot_")
-        df = df.join(F.broadcast(crowded), on, "left").withColumn(
-            f"__level{depth}", F.when(F.col("hot_count").isNotNull(), level)
-        )
-        df = df.drop("hot_count", *[f"hot_{k}" for k in [*keys, *parts]])
-        parts.append(f"__level{depth}")
-    return df.withColumn(cell, F.struct(*parts)).drop(*parts) if parts else None
-
-
 def few_groups(df: DataFrame, keys: Sequence[str], limit: int = BROADCAST_GROUPS) -> bool:
     """Whether the keys take about ``limit`` values at most.
 

@@ -1,34 +1,69 @@
 """Order-dependent operators that stay parallel when one group is huge.
 
-A plain window sends each group to one task. Three shapes of work avoid that:
-
-* ``neighbours``  - functions of a few adjacent rows (lag, lead, rolling mean);
-* ``running``     - functions of all rows before (row number, running sum,
-  previous value, last known value), as a two-level scan over buckets;
-* ``rank_within`` - rank and dense rank by a numeric value.
+A plain window sends each group to one task. Where a group is too large for that, its rows are dealt over ranges of the
+group's order (``in_ranges``), and three shapes of work go on from there without bringing the group together again:
+
+* ``neighbours``  - functions of a few adjacent rows (lag, lead, rolling mean), in chunks of equal size which hold
+  the rows on either side of them as well;
+* ``running``     - functions of all rows before (row number, running sum, previous value, last known value), each
+  range going on from one opening row that holds what came before it;
+* ``rank_within`` - rank and dense rank by a numeric value, as a running sum over distinct values.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .hot import HOT_ROWS, add_cells, any_hot, join_back, prefixed, same_keys, split_hot
+from ..session import shared_dir, written
+from .hot import HOT_ROWS, join_back, prefixed, rows_in_hot_groups, same_keys, split_hot
 
 CHUNK_ROWS = 2_000_000
-COPY_BLOCK = 100_000
-SPLITS = 500
 
 WindowFn = Callable[[WindowSpec], Column]
 
 
-def quantile_cuts(number: Column, splits: int = SPLITS) -> Column:
-    """Approximate split points of a double column into ``splits`` ranges of alike many rows."""
-    return F.percentile_approx(number, [i / splits for i in range(1, splits)], 10 * splits)
+def in_ranges(df: DataFrame, keys: Sequence[str], arrange: Sequence[Column], rows: int, per_range: int) -> DataFrame:
+    """``df`` in order of (keys, ``arrange``), with ``__part`` and ``__at``, both rising along that order.
+
+    The rows are ranged by sampled bounds into parts of about ``per_range`` rows; rows that ``arrange`` cannot tell apart are
+    told apart by a number, so not even a run of equal rows must fit in one part. The result is written to the shared
+    folder: a second evaluation would sample other bounds.
+    """
+    parts = max(math.ceil(rows / per_range), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    order = [*map(F.asc, keys), *arrange]
+    numbered = df.withColumn("__number", F.monotonically_increasing_id())
+    ranged = numbered.repartitionByRange(parts, *order, "__number").sortWithinPartitions(*order, "__number").drop("__number")
+    return written(ranged.withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id()}), "ranges")
+
+
+def positions(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``in_ranges`` with ``__pos``, their place in the group from 0, and ``__size``, the group's.
+
+    Rows of a group stand without a gap inside a part, so a count per (group, part) is all that must be known of the others.
+    """
+    counted = placed.groupBy(*keys, "__part").agg(F.count(F.lit(1)).alias("__rows"), F.min("__at").alias("__first"))
+    group = Window.partitionBy(*keys)
+    before = F.coalesce(F.sum("__rows").over(group.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    opened = counted.select(*keys, "__part", (before - F.col("__first")).alias("__shift"), F.sum("__rows").over(group).alias("__size"))
+    # One row a part and one more a group; groups here are hot, so both are few.
+    side = F.broadcast(prefixed(opened, [*keys, "__part"], "__s_"))
+    joined = placed.join(side, same_keys([*keys, "__part"], "__s_")).drop(*[f"__s_{k}" for k in [*keys, "__part"]])
+    return joined.withColumn("__pos", F.col("__at") + F.col("__shift")).drop("__shift")
+
+
+def in_chunks(placed: DataFrame, keys: Sequence[str], back: int, ahead: int, chunk_rows: int) -> DataFrame:
+    """Rows of ``in_ranges`` dealt to chunks of exactly ``chunk_rows`` rows of a group, by ``__chunk``.
+
+    Each row stands in its own chunk (``__own``) and, as a guest, in every other that holds a row which looks at it.
+    """
+    first = F.expr(f"greatest(__pos - {ahead}, 0) div {chunk_rows}")
+    last = F.expr(f"least(__pos + {back}, __size - 1) div {chunk_rows}")
+    dealt = positions(placed, keys).withColumn("__chunk", F.explode(F.sequence(first, last)))
+    return dealt.withColumn("__own", F.col("__chunk") == F.expr(f"__pos div {chunk_rows}")).drop("__size")
 
 
 def neighbours(
@@ -45,99 +80,54 @@ def neighbours(
 ) -> DataFrame:
     """Add columns that look at most ``back`` rows behind and ``ahead`` rows on.
 
-    ``order[0]`` must be numeric. Ties are broken by the other columns, so the
-    result does not depend on how rows arrive; select only what is needed
-    before calling. Ordinary groups use one window. Hot groups are cut into
-    chunks of about ``chunk_rows`` rows along the order; rows whose
-    neighbourhood crosses a chunk edge are computed a second time from the
-    chunk edges alone.
+    Ties are broken by the other columns, so the result does not depend on how rows arrive; select only what is needed
+    before calling. Ordinary groups use one window. Hot groups are put in order by ranges and cut into chunks of
+    ``chunk_rows`` rows; no step orders more than a chunk and the few rows next to it.
 
     A counting job finds out whether there are hot groups. Where ``df`` is
-    expensive, ``sizes_from`` can name an earlier table with the same groups.
+    expensive, ``sizes_from`` can name an earlier table with the same groups. Without a folder to
+    write to (see ``shared_dir``) all groups use one window.
     """
     names = df.columns
     ties = [c for c in names if c not in keys and c not in order]
     toward = F.asc_nulls_last if nulls_last else F.asc_nulls_first
-    arrange = [*map(toward, order), F.xxhash64(*ties) if ties else F.lit(0), *map(F.asc, ties)]
-    lead_col = F.col(order[0])
+    by_hash = F.xxhash64(*ties) if ties else F.lit(0)
+    arrange = [*map(toward, order), by_hash, *map(F.asc, ties)]
     plain = Window.partitionBy(*keys).orderBy(*arrange)
-    if not any_hot(df if sizes_from is None else sizes_from, keys, hot_rows):
+    rows = _hot_rows(df if sizes_from is None else sizes_from, keys, hot_rows)
+    if not rows:
         return df.withColumns({n: f(plain) for n, f in columns.items()})
 
-    number = lead_col.cast("double")
-    known = F.when(~F.isnan(number), number)
-    ordinary, hot = split_hot(df, keys, hot_rows, hot_cuts=quantile_cuts(known))
-
+    ordinary, hot = split_hot(df, keys, hot_rows)
     done = ordinary.withColumns({n: f(plain) for n, f in columns.items()})
+    # Ranges go by the hash of the other columns, sorting and windows by the columns themselves after it.
+    placed = in_ranges(hot.drop("hot_count").withColumn("__ties", by_hash), keys, [*map(toward, order), F.asc("__ties")], rows, max(chunk_rows, back + ahead))
+    chunks = in_chunks(placed, keys, back, ahead, chunk_rows)
+    along = Window.partitionBy(*keys, "__chunk").orderBy("__pos")
+    solved = chunks.withColumns({n: f(along) for n, f in columns.items()}).where("__own")
+    return done.unionByName(solved.select(*names, *columns))
 
-    # Approximate quantiles place the cuts, so ranges hold alike many rows
-    # whatever the values; NaN is the largest value and has its own range.
-    ranges = F.least(F.lit(SPLITS), F.ceil(F.col("hot_count") / chunk_rows))
-    below = F.coalesce(F.size(F.filter("hot_cuts", lambda c: c < number)), F.lit(0))
-    place = F.when(lead_col.isNull(), F.lit(SPLITS + 1 if nulls_last else -1)).when(F.isnan(number), F.lit(SPLITS))
-    hot = hot.withColumn("__range", place.otherwise(F.floor(below * ranges / SPLITS)))
-    hot = hot.drop("hot_cuts", "hot_count")
-    # Inside a crowded range: by the exact order value, then by the hash that
-    # arranges equal values.
-    tie_slice = F.shiftright(F.xxhash64(*ties), 50) if ties else F.lit(0)
-    chunked = add_cells(hot, keys, [F.col("__range"), *map(F.col, order), tie_slice], "__chunk", chunk_rows)
-    hot = (hot.withColumn("__chunk", F.lit(0)) if chunked is None else chunked).drop("__range")
-
-    # A row within reach of an edge still looks the other way as well.
-    edge = back + ahead
-    # Identical rows fold into one with a count before anything is shuffled
-    # whole. Of a long run only the copies near its ends see other rows, so
-    # that many stay in the sequence and the rest follows from one of them.
-    run = 2 * edge + 1
-    folded = hot.groupBy(*hot.columns).agg(F.count(F.lit(1)).alias("__copies"))
-    kept = F.sequence(F.lit(1), F.least("__copies", F.lit(run)).cast("int"))
-    pieces = folded.withColumn("__piece", F.explode(kept)).drop("__copies")
-
-    within = Window.partitionBy(*keys, "__chunk")
-    sorted_chunk = within.orderBy(*arrange, "__piece")
-    sized = pieces.withColumns({"__rn": F.row_number().over(sorted_chunk), "__n": F.count(F.lit(1)).over(within)})
-    crosses = (F.col("__rn") <= back) | (F.col("__rn") > F.col("__n") - ahead)
-    near_edge = (F.col("__rn") <= edge) | (F.col("__rn") > F.col("__n") - edge)
-    inner = sized.withColumns({n: f(sorted_chunk) for n, f in columns.items()}).where(~crosses)
-    across = Window.partitionBy(*keys).orderBy(*arrange, "__piece")
-    rim = sized.where(near_edge).withColumns({n: f(across) for n, f in columns.items()}).where(crosses)
-
-    long_runs = folded.where(F.col("__copies") > run).withColumn("__piece", F.explode(kept))
-    alike = Window.partitionBy(*hot.columns).orderBy("__piece")
-    middle = long_runs.withColumns({n: f(alike) for n, f in columns.items()}).where(F.col("__piece") == edge + 1)
-    rest = _repeat(middle.withColumn("__copies", F.col("__copies") - run), "__copies")
-
-    wanted = [*names, *columns]
-    parts = [done, inner.select(wanted), rim.select(wanted), rest.select(wanted)]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _repeat(df: DataFrame, times: str) -> DataFrame:
-    """Each row ``times`` times, in blocks that spread a long run over tasks."""
-    blocks = F.expr(f"sequence(0L, ({times} - 1) div {COPY_BLOCK})")
-    copies = F.expr(f"sequence(1L, least({COPY_BLOCK}L, {times} - __block * {COPY_BLOCK}))")
-    spread = df.withColumn("__block", F.explode(blocks)).repartition(*df.columns, "__block")
-    return spread.withColumn("__copy", F.explode(copies))
+
+def _hot_rows(df: DataFrame, keys: Sequence[str], hot_rows: int) -> int:
+    """Rows in hot groups; 0 as well where there is no folder for ranges, so that callers use one window."""
+    return rows_in_hot_groups(df, keys, hot_rows) if shared_dir(df.sparkSession) else 0
 
 
 def running(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str],
-    levels: Sequence[Column],
+    order: Sequence[str | Column],
     position: str | None = None,
     totals: Mapping[str, Column] | None = None,
     previous: Mapping[str, Column] | None = None,
     latest: Mapping[str, Column] | None = None,
-    crowded_rows: int = HOT_ROWS,
+    hot_rows: int = HOT_ROWS,
+    per_range: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Row number, inclusive running totals, previous values and last known values.
 
-    ``order`` should identify a row. ``levels`` are the bucket columns of
-    ``add_cells``, coarse to fine along ``order``. Where groups are too large,
-    windows run per (keys, bucket), and a table with one row per bucket
-    carries counts, sums and last values from bucket to bucket: no task sees a
-    whole group and the rows are shuffled once. Otherwise it is one window.
+    ``order`` should identify a row. Ordinary groups use one window. In hot groups windows run per (keys, range), and a table
+    with one row per group and range carries counts, sums and last values from range to range: no task sees a whole group.
     """
     totals, previous, latest = totals or {}, previous or {}, latest or {}
 
@@ -150,37 +140,40 @@ def running(
         return added
 
     inputs = {**totals, **previous, **latest}
-    rows = add_cells(df, keys, levels, crowded_rows=crowded_rows)
-    if rows is None:
-        return df.withColumns(upto_here(Window.partitionBy(*keys).orderBy(*order), F.lit(1), inputs.__getitem__))
-
-    rows = rows.withColumns({f"__in_{n}": c for n, c in inputs.items()}) if inputs else rows
-    when = F.struct(*order)
-    cells = [*keys, "__cell"]
+    arrange = [F.asc(c) if isinstance(c, str) else c for c in order]
+    whole = upto_here(Window.partitionBy(*keys).orderBy(*arrange), F.lit(1), inputs.__getitem__)
+    rows = _hot_rows(df, keys, hot_rows)
+    if not rows:
+        return df.withColumns(whole)
 
-    per_bucket = rows.groupBy(*cells).agg(
+    ordinary, hot = split_hot(df, keys, hot_rows)
+    done = ordinary.withColumns(whole)
+    wide = hot.drop("hot_count").withColumns({f"__in_{n}": c for n, c in inputs.items()}) if inputs else hot.drop("hot_count")
+    placed = in_ranges(wide, keys, arrange, rows, per_range)
+    cells = [*keys, "__part"]
+    per_part = placed.groupBy(*cells).agg(
         F.count(F.lit(1)).alias("__rows"),
         *[F.sum(f"__in_{n}").alias(f"__sum_{n}") for n in totals],
-        *[F.max_by(F.col(f"__in_{n}"), when).alias(f"__end_{n}") for n in previous],
-        *[F.max_by(F.col(f"__in_{n}"), F.when(F.col(f"__in_{n}").isNotNull(), when)).alias(f"__known_{n}") for n in latest],
+        *[F.max_by(F.col(f"__in_{n}"), "__at").alias(f"__end_{n}") for n in previous],
+        *[F.max_by(F.col(f"__in_{n}"), F.when(F.col(f"__in_{n}").isNotNull(), F.col("__at"))).alias(f"__known_{n}") for n in latest],
     )
-    by_bucket = Window.partitionBy(*keys).orderBy("__cell")
-    before = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
-    # One opening row per bucket brings in what the buckets before it hold, so
-    # the windows inside a bucket continue from there without a join.
-    opening = per_bucket.select(
+    by_part = Window.partitionBy(*keys).orderBy("__part")
+    before = by_part.rowsBetween(Window.unboundedPreceding, -1)
+    # One opening row per part brings in what the parts before it hold, so
+    # the windows inside a part continue from there without a join.
+    opening = per_part.select(
         *cells,
-        F.lit(0).alias("__kind"),
+        F.lit(-1).cast("long").alias("__at"),
         F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__step"),
         *[F.sum(f"__sum_{n}").over(before).alias(f"__in_{n}") for n in totals],
-        *[F.lag(f"__end_{n}").over(by_bucket).alias(f"__in_{n}") for n in previous],
+        *[F.lag(f"__end_{n}").over(by_part).alias(f"__in_{n}") for n in previous],
         *[F.last(f"__known_{n}", ignorenulls=True).over(before).alias(f"__in_{n}") for n in latest],
     )
-    marked = rows.withColumns({"__kind": F.lit(1), "__step": F.lit(1)})
-    inside = Window.partitionBy(*cells).orderBy("__kind", *order)
+    inside = Window.partitionBy(*cells).orderBy("__at")
     added = upto_here(inside, F.col("__step"), lambda n: F.col(f"__in_{n}"))
-    solved = marked.unionByName(opening, allowMissingColumns=True).withColumns(added).where(F.col("__kind") == 1)
-    return solved.select(*[c for c in df.columns if c not in added], *added)
+    both = placed.withColumn("__step", F.lit(1)).unionByName(opening, allowMissingColumns=True)
+    solved = both.withColumns(added).where(F.col("__at") >= 0)
+    return done.unionByName(solved.select(*done.columns))
 
 
 def rank_within(
@@ -191,43 +184,23 @@ def rank_within(
     descending: bool = False,
     dense: bool = False,
     hot_rows: int = HOT_ROWS,
-    splits: int = SPLITS,
 ) -> DataFrame:
     """``rank()`` or ``dense_rank()`` of a numeric column within each group.
 
-    Nulls rank first ascending and last descending, as in Spark SQL. In hot
-    groups equal values fold into one counted value, the values are bucketed
-    at approximate quantiles (any split points give the exact rank) and ranked
-    with a two-level scan.
+    Nulls rank first ascending and last descending, as in Spark SQL. In hot groups equal values fold into one counted
+    value; the values, not the rows, are numbered and summed up in order.
     """
-    arrange = F.desc_nulls_last(value) if descending else F.asc_nulls_first(value)
-    plain = (F.dense_rank() if dense else F.rank()).over(Window.partitionBy(*keys).orderBy(arrange))
-    if not any_hot(df, keys, hot_rows):
+    toward = F.desc_nulls_last if descending else F.asc_nulls_first
+    plain = (F.dense_rank() if dense else F.rank()).over(Window.partitionBy(*keys).orderBy(toward(value)))
+    if not _hot_rows(df, keys, hot_rows):
         return df.withColumn(name, plain)
 
     ordinary, hot = split_hot(df, keys, hot_rows)
     done = ordinary.withColumn(name, plain)
-
     hot = hot.drop("hot_count")
-    # The value's own type throughout. Complement turns the order of whole numbers round without a loss.
-    whole = isinstance(df.schema[value].dataType, T.IntegralType)
-    key = F.col(value) if not descending else F.bitwise_not(F.col(value)) if whole else -F.col(value)
-    counted = hot.select(*keys, key.alias("__v")).groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__ties"))
-    number = F.col("__v").cast("double")
-    # One row per hot group, the same bound as in split_hot.
-    points = counted.groupBy(*keys).agg(quantile_cuts(F.when(~F.isnan(number), number), splits).alias("__cuts"))
-    points = F.broadcast(prefixed(points, keys, "__s_"))
-    placed = counted.join(points, same_keys(keys, "__s_"), "inner").drop(*[f"__s_{k}" for k in keys])
-    below = F.coalesce(F.size(F.filter("__cuts", lambda c: c < number)), F.lit(0))
-    bucket = F.when(F.col("__v").isNull(), F.lit(splits + 1 if descending else -1))
-    bucket = bucket.when(F.isnan(number), F.lit(-1 if descending else splits + 1)).otherwise(below)  # NaN is the largest
-    placed = placed.withColumn("__cut", bucket).drop("__cuts")
-    scanned = running(
-        placed, keys, ["__cut", "__v"], [F.col("__cut")],
-        position="__nth", totals={"__seen": F.col("__ties")}, crowded_rows=hot_rows,
-    )
+    counted = hot.select(*keys, F.col(value).alias("__v")).groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__ties"))
+    scanned = running(counted, keys, [toward("__v")], position="__nth", totals={"__seen": F.col("__ties")}, hot_rows=hot_rows)
     rank = F.col("__nth") if dense else F.col("__seen") - F.col("__ties") + 1
     ranks = scanned.select(*keys, F.col("__v").alias("__rank_v"), rank.cast("int").alias(name))
-    back = hot.withColumn("__rank_v", key)
-    ranked = join_back(back, ranks, [*keys, "__rank_v"], null_safe=True).drop("__rank_v")
+    ranked = join_back(hot.withColumn("__rank_v", F.col(value)), ranks, [*keys, "__rank_v"], null_safe=True).drop("__rank_v")
     return done.unionByName(ranked)

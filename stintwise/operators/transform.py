@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import share_pct
-from .hot import HOT_ROWS, all_known, join_back
+from .hot import HOT_ROWS, all_known, few_groups, join_back, prefixed, rows_in_hot_groups, same_keys, split_hot
 from .ordered import neighbours
 
 ROLLING_LAPS = 5
@@ -21,18 +21,29 @@ SECTOR_DELTAS = {
 
 
 def delta_to_best(
-    df: DataFrame, keys: Sequence[str], deltas: dict[str, str], sizes_from: DataFrame | None = None
+    df: DataFrame, keys: Sequence[str], deltas: dict[str, str], sizes_from: DataFrame | None = None, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Each value minus the smallest of its group.
+    """Each value minus the smallest of its group. Rows with a null key get null.
 
-    Minima combine map-side and are joined back, so a group of any size never
-    meets in one task. Rows with a null key get null.
+    Few groups: their minima combine map-side, are broadcast, and the rows stay where they are. Many groups: the rows go by
+    key once and a window has the minimum; only groups too large for that, of which there can be few, take theirs from a broadcast.
     """
-    best = df.groupBy(*keys).agg(*[F.min(source).alias(f"__best_{name}") for name, source in deltas.items()])
-    joined = join_back(df, best, keys, sizes_from=df if sizes_from is None else sizes_from)
-    return joined.withColumns({n: F.col(s) - F.col(f"__best_{n}") for n, s in deltas.items()}).drop(
-        *[f"__best_{n}" for n in deltas]
-    )
+    source = df if sizes_from is None else sizes_from
+    best = {f"__best_{name}": F.min(s) for name, s in deltas.items()}
+
+    def less(joined: DataFrame) -> DataFrame:
+        known = all_known(keys)
+        return joined.withColumns({n: F.when(known, F.col(s) - F.col(f"__best_{n}")) for n, s in deltas.items()}).drop(*best)
+
+    if few_groups(source, keys):
+        small = F.broadcast(prefixed(df.groupBy(*keys).agg(*[c.alias(n) for n, c in best.items()]), keys, "__s_"))
+        return less(df.join(small, same_keys(keys, "__s_"), "left").drop(*[f"__s_{k}" for k in keys]))
+    group = Window.partitionBy(*keys)
+    windowed = {n: c.over(group) for n, c in best.items()}
+    if not rows_in_hot_groups(source, keys, hot_rows):
+        return less(df.withColumns(windowed))
+    ordinary, hot = split_hot(df, keys, hot_rows, **best)
+    return less(ordinary.withColumns(windowed).unionByName(hot.drop("hot_count")))
 
 
 def sector_deltas(df: DataFrame, race_keys: Sequence[str] = RACE_KEYS, lap: str = "lap_number") -> DataFrame:

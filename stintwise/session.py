@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -45,8 +46,16 @@ def shared_dir(spark: SparkSession) -> str | None:
     if named:
         return named
     sc = spark.sparkContext
-    if not sc.master.startswith("local"):
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         return None
     if sc.applicationId not in _local_dirs:
         _local_dirs[sc.applicationId] = tempfile.mkdtemp(prefix="stintwise-")
     return _local_dirs[sc.applicationId]
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table written to the shared folder: what reads it, reads the same rows, however often and wherever it restarts."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/stintwise/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

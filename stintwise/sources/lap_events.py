@@ -2,7 +2,7 @@
 
 Each event becomes one lap of the driver ``user_id % 20``; days decide season
 and race. A driver-race grows with the log, so everything along lap order goes
-through ``running``, in time buckets, instead of a plain window.
+through ``running`` instead of a plain window.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import epoch_micros, time_levels
+from ..functions.scalars import epoch_micros
 from ..operators.hot import join_back
 from ..operators.ordered import running
 
@@ -52,7 +52,7 @@ def laps_from_events(events: DataFrame, stage: Callable[[DataFrame], DataFrame]
     )
     pit = F.col("pit_in_time_seconds")
     laps = running(
-        base, DRIVER_RACE, ["ts", "event_id"], [*time_levels("ts"), F.floor(F.col("event_id") / 1000)],
+        base, DRIVER_RACE, ["ts", "event_id"],
         position="lap_number",
         totals={"cum_cents": F.col("cents"), "entries": pit.isNotNull().cast("int")},
         previous={"pit_out_time_seconds": pit},

@@ -3,10 +3,9 @@
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from stintwise.functions.scalars import time_levels
 from stintwise.operators.assembly import asof_join
 from stintwise.operators.hot import join_back
-from stintwise.operators.ordered import neighbours, rank_within, running
+from stintwise.operators.ordered import in_chunks, in_ranges, neighbours, rank_within, running
 
 KEYS = ["season", "race_name", "driver"]
 
@@ -65,20 +64,34 @@ def test_neighbours_with_odd_order_values(spark, odd, nulls_last):
     close(plain, split)
 
 
+@pytest.mark.parametrize("chunk_rows", [30, 1000])
+def test_chunks_are_of_one_size_however_rows_lie(spark, chunk_rows):
+    """Even values, few values and equal rows: chunks are full, and hold at most the rows in reach besides."""
+    n, back, ahead = 20_000, 4, 10
+    for value in (F.col("id"), F.col("id") % 7, F.lit(1)):
+        df = spark.range(n).select(F.lit("g").alias("k"), value.alias("v"))
+        placed = in_ranges(df, ["k"], [F.asc("v")], n, 1000)
+        parts = [r["count"] for r in placed.groupBy("__part").count().collect()]
+        assert sum(parts) == n and max(parts) < 3000
+        chunks = in_chunks(placed, ["k"], back, ahead, chunk_rows).groupBy("__chunk").agg(F.count_if("__own").alias("own"), F.count("*").alias("rows")).collect()
+        assert len(chunks) == -(-n // chunk_rows) and sorted(c.own for c in chunks)[1:] == [chunk_rows] * (len(chunks) - 1)
+        assert max(c.rows for c in chunks) <= chunk_rows + back + ahead
+
+
 def test_neighbours_keep_the_plan_of_ordinary_data_small(skewed):
     plan = neighbours(skewed, ["driver"], ["lap"], COLUMNS, 4, 10)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
 
 
-@pytest.mark.parametrize("crowded_rows", [3, 1_000_000])
-def test_running_equals_windows(spark, crowded_rows):
+@pytest.mark.parametrize("hot_rows", [3, 300, 1_000_000])
+def test_running_equals_windows(spark, hot_rows):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
         (F.col("user_id") % 2).alias("k"), "ts", "event_id", F.when(F.col("event_id") % 3 == 0, F.col("event_id")).alias("v")
     )
     got = running(
-        events, ["k"], ["ts", "event_id"], time_levels("ts"),
+        events, ["k"], ["ts", "event_id"],
         position="nth", totals={"total": F.col("v")}, previous={"prev": F.col("v")}, latest={"known": F.col("v")},
-        crowded_rows=crowded_rows,
+        hot_rows=hot_rows, per_range=70,
     )
     w = Window.partitionBy("k").orderBy("ts", "event_id")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -92,7 +105,7 @@ def test_running_equals_windows(spark, crowded_rows):
 @pytest.mark.parametrize("descending", [False, True])
 @pytest.mark.parametrize("dense", [False, True])
 def test_rank_of_hot_group_equals_window(skewed, descending, dense):
-    split = rank_within(skewed, ["driver"], "lap", "r", descending, dense, hot_rows=50, splits=7)
+    split = rank_within(skewed, ["driver"], "lap", "r", descending, dense, hot_rows=50)
     order = F.desc_nulls_last("lap") if descending else F.asc_nulls_first("lap")
     w = Window.partitionBy("driver").orderBy(order)
     plain = skewed.withColumn("r", (F.dense_rank() if dense else F.rank()).over(w))
@@ -108,8 +121,8 @@ def test_asof_edges(spark):
         [(1, "2024-01-01 10:00:00", "a", None), (1, "2024-01-01 10:05:00", "b", 2), (None, "2024-01-01 09:00:00", "n", 1)],
         "k int, s string, name string, extra int",
     ).withColumn("s", F.col("s").cast("timestamp_ntz"))
-    for crowded in (1, 1_000_000):
-        got = asof_join(left, right, ["k"], "t", "s", ["name", "extra"], crowded_rows=crowded)
+    for hot in (1, 1_000_000):
+        got = asof_join(left, right, ["k"], "t", "s", ["name", "extra"], hot_rows=hot)
         found = sorted(((r.k, str(r.t), r.name, r.extra) for r in got.collect()), key=repr)
         assert found == sorted(
             [
