@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..operators.boosting import Forest, fit_forest, importances
 
 # Inputs in training order, holdout share, seed and tree settings.
 LABELS = ["Compound", "Circuit", "Driver"]
@@ -21,7 +19,26 @@ TREES, LEARNING_RATE, DEPTH = 120, 0.08, 5
 
 TARGET = "LapTime"
 UNSEEN = -1.0
-MISSING = -999.0  # a number that is not there; below all inputs, so that trees can tell it apart
+
+
+@dataclass
+class LapModel:
+    """Known labels of each label column in code order, and the trees over codes and numbers."""
+
+    labels: dict[str, list[str]]
+    forest: Forest
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.forest.table(spark).write.mode("overwrite").parquet(f"{path}/nodes")
+        known = [(c, i, label) for c, names in self.labels.items() for i, label in enumerate(names)]
+        spark.createDataFrame(known, "input string, code int, label string").write.mode("overwrite").parquet(f"{path}/labels")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> LapModel:
+        labels: dict[str, list[str]] = {c: [] for c in LABELS}
+        for r in sorted(spark.read.parquet(f"{path}/labels").collect(), key=lambda r: (r["input"], r["code"])):
+            labels[r["input"]].append(r["label"])
+        return cls(labels, Forest.of_table(spark.read.parquet(f"{path}/nodes"), [*LABELS, *NUMBERS]))
 
 
 def features(laps: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -53,43 +70,43 @@ def split(df: DataFrame, keys: Sequence[str], holdout_pct: int = HOLDOUT_PCT, se
     return df.where(bucket >= holdout_pct), df.where(bucket < holdout_pct)
 
 
-def fit(train: DataFrame, trees: int = TREES, rate: float = LEARNING_RATE, depth: int = DEPTH, seed: int = SEED) -> PipelineModel:
-    """Fit the pipeline on rows shaped by ``features``.
+def known_labels(train: DataFrame) -> dict[str, list[str]]:
+    """Labels of each label column in code order, which is alphabetical; as many as there are distinct ones."""
+    found = train.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in LABELS]).first()
+    return {c: list(found[c]) for c in LABELS}
+
+
+def coded(rows: DataFrame, labels: dict[str, list[str]]) -> DataFrame:
+    """Labels as codes: unseen ones -1, missing ones missing. Numbers as they are."""
 
-    Labels become codes in alphabetical order, unseen ones -1. The codes pass
-    through SQL, which drops the category metadata, so the trees split them as
-    ordered numbers. A missing number becomes ``MISSING``: no row is left out.
+    def code(c: str) -> Column:
+        if not labels[c]:
+            return F.when(F.col(c).isNotNull(), F.lit(UNSEEN))
+        places = F.create_map(*[F.lit(x) for i, label in enumerate(labels[c]) for x in (label, float(i))])
+        return F.when(F.col(c).isNotNull(), F.coalesce(F.try_element_at(places, F.col(c)), F.lit(UNSEEN)))
+
+    return rows.withColumns({c: code(c) for c in LABELS} | {c: F.col(c).cast("double") for c in NUMBERS})
+
+
+def fit(train: DataFrame, trees: int = TREES, rate: float = LEARNING_RATE, depth: int = DEPTH, **settings) -> LapModel:
+    """Fit on rows shaped by ``features``.
+
+    The trees split label codes as ordered numbers, and a missing number goes to the side of each cut that wins
+    more: no row with a target is left out.
     """
-    spark = train.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None and shared_dir(spark):
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    codes = [f"{c}Code" for c in LABELS]
-    indexer = StringIndexer(
-        inputCols=LABELS, outputCols=[f"{c}Index" for c in LABELS], stringOrderType="alphabetAsc", handleInvalid="keep"
-    ).fit(train)
-    coded = ", ".join(
-        f"CASE WHEN {c}Index < {len(known)} THEN {c}Index ELSE {UNSEEN} END AS {c}Code"
-        for c, known in zip(LABELS, indexer.labelsArray)
-    )
-    filled = ", ".join(f"COALESCE(NANVL(CAST({c} AS DOUBLE), {MISSING}D), {MISSING}D) AS {c}Known" for c in NUMBERS)
-    encode = SQLTransformer(statement=f"SELECT *, {coded}, {filled} FROM __THIS__")
-    collect = VectorAssembler(inputCols=[*codes, *[f"{c}Known" for c in NUMBERS]], outputCol="inputs", handleInvalid="error")
-    boost = GBTRegressor(
-        featuresCol="inputs", labelCol=TARGET, maxIter=trees, stepSize=rate, maxDepth=depth, maxBins=128, seed=seed
-    )
-    # Boosting runs a few jobs per tree and level over the same rows, so they
-    # are packed into partitions of the advisory size first.
-    prepared = train.where(F.col(TARGET).isNotNull()).hint("rebalance")
-    tail = Pipeline(stages=[encode, collect, boost]).fit(indexer.transform(prepared))
-    return PipelineModel(stages=[indexer, *tail.stages])
+    labels = known_labels(train)
+    return LapModel(labels, fit_forest(coded(train, labels), [*LABELS, *NUMBERS], TARGET, trees, rate, depth, **settings))
 
 
-def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def predict(model: LapModel, rows: DataFrame) -> DataFrame:
     """Input columns and ``prediction``, one row for each input row."""
-    return model.transform(rows).select(*rows.columns, "prediction")
+    given = {c: f"__given_{c}" for c in (*LABELS, *NUMBERS)}
+    beside = rows.withColumns({name: F.col(c) for c, name in given.items()})
+    scored = coded(beside, model.labels).withColumn("prediction", model.forest.prediction())
+    return scored.select(*[F.col(given.get(c, c)).alias(c) for c in rows.columns], "prediction")
 
 
-def evaluate(model: PipelineModel, holdout: DataFrame) -> DataFrame:
+def evaluate(model: LapModel, holdout: DataFrame) -> DataFrame:
     """RMSE, MAE and R2 on rows with a known target, in one pass."""
     scored = predict(model, holdout.where(F.col(TARGET).isNotNull()))
     error = F.col("prediction") - F.col(TARGET)
@@ -101,8 +118,6 @@ def evaluate(model: PipelineModel, holdout: DataFrame) -> DataFrame:
     )
 
 
-def importance(model: PipelineModel) -> DataFrame:
-    """(feature, importance), largest first, named in the order the trees saw the inputs."""
-    trees = next(s for s in model.stages if isinstance(s, GBTRegressionModel))
-    rows = [(name, float(v)) for name, v in zip([*LABELS, *NUMBERS], trees.featureImportances.toArray())]
-    return SparkSession.active().createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))
+def importance(model: LapModel, spark: SparkSession) -> DataFrame:
+    """(feature, cuts, total_gain, importance), largest first, named in the order the trees saw the inputs."""
+    return importances(model.forest.table(spark), model.forest.features)

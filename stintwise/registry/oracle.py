@@ -547,6 +547,68 @@ ORACLE["ml_split"] = over_laps(
 ORACLE["ml_scored_rows"] = over_laps(f"SELECT {KEYS}, TRUE AS scored FROM laps")
 ORACLE["ml_evaluated_rows"] = f"SELECT count(*) AS rows, TRUE AS consistent FROM ({ORACLE['ml_split']}) WHERE part = 'holdout'"
 
+
+def model_parts(gaps: bool) -> str:
+    """CTEs ``coded`` (inputs as numbers, target, part) and ``train``: labels as places in the alphabet of the training part."""
+    air = "CASE WHEN lap_number::INT % 3 <> 0 THEN air_temp END" if gaps else "air_temp"
+    life = "CASE WHEN lap_number::INT % 2 = 0 OR tyre_life <= 20 THEN tyre_life END" if gaps else "tyre_life"
+    labels = [("Compound", "compound"), ("Circuit", "race_name"), ("Driver", "driver")]
+    codes = ", ".join(f"""CASE WHEN {c} IS NOT NULL THEN coalesce((SELECT code FROM label_codes k WHERE k.input = '{i}' AND k.label = p.{c}), -1.0) END::DOUBLE AS in_{i}""" for i, c in labels)
+    seen = " UNION ALL ".join(f"SELECT '{i}' AS input, label, dense_rank() OVER (ORDER BY label) - 1.0 AS code FROM (SELECT DISTINCT {c} AS label FROM parted WHERE part = 'train')" for i, c in labels)
+    return f"""parted AS (
+  SELECT *, coalesce(lap_time_seconds, (SELECT median(lap_time_seconds) FROM laps)) AS y,
+    CASE WHEN ('0x' || substr(md5(concat_ws('|', season, race_name, driver, lap_number, '42')), 1, 8))::BIGINT % 100 < 20 THEN 'holdout' ELSE 'train' END AS part
+  FROM laps),
+label_codes AS ({seen}),
+coded AS (
+  SELECT season, race_name, driver, lap_number, part, y, {codes}, ({life})::DOUBLE AS in_TyreLife, lap_number::DOUBLE AS in_LapNumber, ({air})::DOUBLE AS in_AirTemp,
+    track_temp::DOUBLE AS in_TrackTemp, rainfall::DOUBLE AS in_Rainfall FROM parted p),
+train AS (SELECT * FROM coded WHERE part = 'train')"""
+
+
+INPUTS = ["Compound", "Circuit", "Driver", "TyreLife", "LapNumber", "AirTemp", "TrackTemp", "Rainfall"]
+
+
+def first_cut(gaps: bool) -> str:
+    """CTE ``best``: of all cuts at quantiles, missing rows on either side, the one that wins most squares."""
+    tall = " UNION ALL ".join(f"""SELECT {i} AS nth, '{c}' AS feature, in_{c} AS x, y - (SELECT avg(y) FROM train) AS g FROM train""" for i, c in enumerate(INPUTS))
+    return model_parts(gaps) + f""",
+tall AS ({tall}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY nth ORDER BY x) AS r, count(*) OVER (PARTITION BY nth) AS n FROM tall WHERE x IS NOT NULL),
+cuts AS (SELECT DISTINCT nth, feature, x AS threshold FROM ranked WHERE r * 256 // n > (r - 1) * 256 // n),
+sums AS (
+  SELECT c.nth, c.feature, threshold, m.missing_left,
+    sum(CASE WHEN x <= threshold OR (x IS NULL AND m.missing_left) THEN g ELSE 0 END) AS gl,
+    count(CASE WHEN x <= threshold OR (x IS NULL AND m.missing_left) THEN 1 END) AS nl, sum(g) AS ga, count(*) AS na
+  FROM cuts c JOIN tall t ON c.nth = t.nth CROSS JOIN (VALUES (TRUE), (FALSE)) m(missing_left) GROUP BY ALL),
+gains AS (SELECT *, gl * gl / (nl + 1) + (ga - gl) * (ga - gl) / (na - nl + 1) - ga * ga / (na + 1) AS gain FROM sums WHERE nl > 0 AND nl < na),
+best AS (SELECT * FROM gains ORDER BY round(gain, 4) DESC, nth, threshold, missing_left DESC LIMIT 1)"""
+
+
+FIRST_CUT = f"""SELECT feature, {tidy('threshold')} AS threshold, missing_left, {tidy('gain')} AS gain, na AS rows, nl AS left_rows, na - nl AS right_rows FROM best"""
+ORACLE["ml_first_split"] = over_laps(FIRST_CUT, first_cut(False))
+ORACLE["ml_first_split_gaps"] = over_laps(FIRST_CUT, first_cut(True))
+CUT_SIDE = " ".join(f"WHEN feature = '{c}' THEN in_{c}" for c in INPUTS)
+ORACLE["ml_stump_metrics"] = over_laps(
+    f"""SELECT {tidy('sqrt(avg(e * e))')} AS rmse, {tidy('avg(abs(e))')} AS mae, {tidy('1 - avg(e * e) / var_pop(y)')} AS r2, count(*) AS rows FROM (
+  SELECT y, (SELECT avg(y) FROM train) + CASE WHEN coalesce(x <= threshold, missing_left) THEN gl / (nl + 1) ELSE (ga - gl) / (na - nl + 1) END - y AS e
+  FROM (SELECT *, CASE {CUT_SIDE} END AS x FROM coded CROSS JOIN best WHERE part = 'holdout'))""",
+    first_cut(True),
+)
+ORACLE["ml_stump_importance"] = over_laps(
+    f"""SELECT i.feature, (CASE WHEN b.feature IS NULL THEN 0 ELSE 1 END)::BIGINT AS cuts, {tidy('coalesce(gain, 0)')} AS total_gain,
+  {tidy('CASE WHEN b.feature IS NULL THEN 0 ELSE 1 END')} AS importance
+FROM (SELECT unnest({INPUTS}) AS feature) i LEFT JOIN best b ON i.feature = b.feature""",
+    first_cut(True),
+)
+ORACLE["ml_fixed_forest"] = over_laps(
+    f"""SELECT {KEYS}, {tidy("""90.0
+  + CASE WHEN in_TyreLife > 8 THEN 1.5 WHEN compound = 'HARD' THEN -0.75 ELSE 0.25 END
+  + CASE WHEN in_AirTemp <= 24 THEN -1.25 WHEN driver IN ('D0', 'D1', 'D10', 'D11', 'D12') OR driver NOT IN ('D13') THEN 0.5 ELSE 2.0 END""")} AS prediction
+FROM coded p JOIN (SELECT season, race_name, driver, lap_number, compound FROM laps) USING (season, race_name, driver, lap_number)""",
+    model_parts(True),
+)
+
 # --- other tables --------------------------------------------------------------
 
 ORACLE["star_usage_share"] = f"""

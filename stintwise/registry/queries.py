@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..functions import names
 from ..functions.names import snake_columns
 from ..functions.scalars import tidy
-from ..operators import assembly, cleaning, features, quality, selection, transform
+from ..operators import assembly, boosting, cleaning, features, quality, selection, transform
 from ..operators.median import exact_medians
 from ..operators.ordered import rank_within
 from ..plans import gold, model, reports, silver, views
@@ -583,7 +583,7 @@ def ml_metrics(ws):
 
 @query
 def ml_importance(ws):
-    return model.importance(ws.model())
+    return model.importance(ws.model(), ws.spark)
 
 
 @query
@@ -606,6 +606,58 @@ def ml_evaluated_rows(ws):
     return found.select("rows", ((F.col("rmse") >= F.col("mae")) & (F.col("mae") >= 0) & (F.col("r2") <= 1)).alias("consistent"))
 
 
+def _first_cut(fitted, spark):
+    """What the first cut of a forest is, its gain as a share of the squares there were, and the rows on either side."""
+    nodes = fitted.forest.table(spark)
+    top = nodes.where("tree = 0 and node = 0").select("feature", "threshold", "missing_left", "gain", "rows")
+    sides = nodes.where("tree = 0").agg(*[F.max(F.when(F.col("node") == i, F.col("rows"))).alias(n) for i, n in ((1, "left_rows"), (2, "right_rows"))])
+    return top.crossJoin(F.broadcast(sides))  # one row each
+
+
+@query
+def ml_first_split(ws):
+    return _first_cut(model.fit(ws.holdout_split()[0], trees=1, depth=1), ws.spark)
+
+
+@query
+def ml_first_split_gaps(ws):
+    """The first cut where numbers are missing: which side the laps without one take is part of what is learned."""
+    return _first_cut(model.fit(ws.gapped_split()[0], trees=1, depth=1), ws.spark)
+
+
+@query
+def ml_stump_metrics(ws):
+    """A forest of one cut from fit to evaluation on the holdout, numbers missing in both."""
+    train, holdout = ws.gapped_split()
+    return model.evaluate(model.fit(train, trees=1, rate=1.0, depth=1), holdout)
+
+
+@query
+def ml_stump_importance(ws):
+    return model.importance(model.fit(ws.gapped_split()[0], trees=1, depth=1), ws.spark)
+
+
+# A small forest by hand: label codes, a number, missing numbers to either side.
+FIXED_FOREST = boosting.Forest(
+    [*model.LABELS, *model.NUMBERS], 90.0,
+    [
+        (0, 0, "TyreLife", 8.0, True, 4.0, 10, None), (0, 1, "Compound", 0.0, False, 2.0, 6, None), (0, 2, None, None, None, None, 4, 1.5),
+        (0, 3, None, None, None, None, 3, -0.75), (0, 4, None, None, None, None, 3, 0.25),
+        (1, 0, "AirTemp", 24.0, False, 3.0, 10, None), (1, 1, None, None, None, None, 5, -1.25), (1, 2, "Driver", 4.0, True, 1.0, 5, None),
+        (1, 5, None, None, None, None, 2, 0.5), (1, 6, None, None, None, None, 3, 2.0),
+    ],
+)
+FIXED_LABELS = {"Compound": ["HARD", "MEDIUM", "SOFT"], "Circuit": [], "Driver": ["D0", "D1", "D10", "D11", "D12", "D13"]}
+
+
+@query
+def ml_fixed_forest(ws):
+    """Every lap scored by a forest given as nodes; most drivers are unknown to it."""
+    rows = ws.gapped_split()
+    laps = rows[0].unionByName(rows[1])
+    return model.predict(model.LapModel(FIXED_LABELS, FIXED_FOREST), laps).select(*[f"key_{c}" for c in LAP], "prediction")
+
+
 # --- the same operators on other tables ----------------------------------------
 
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,13 +105,19 @@ class Workspace:
     def holdout_split(self) -> tuple[DataFrame, DataFrame]:
         return model.split(self.model_rows(), [f"key_{c}" for c in LAP_KEY])
 
-    def model(self) -> PipelineModel:
+    def model(self) -> model.LapModel:
         """Fitted once per input folder, saved, and loaded from there."""
         key = f"{self.base}/model" if self.base else f"{self.spark.sparkContext.applicationId}/{self.sf_dir}/model"
         if key not in _written:
             train, _ = self.holdout_split()
-            fitted = model.fit(train)
+            _written[key] = model.fit(train)
             if self.base:
-                fitted.write().overwrite().save(key)
-            _written[key] = fitted
-        return PipelineModel.load(key) if self.base else _written[key]
+                _written[key].save(self.spark, key)
+        return model.LapModel.load(self.spark, key) if self.base else _written[key]
+
+    def gapped_split(self) -> tuple[DataFrame, DataFrame]:
+        """The same parts with numbers taken out by rules: temperatures of every third lap, tyre ages above 20 of every second."""
+        lap = F.col("LapNumber").cast("int")
+        gaps = {"AirTemp": F.when(lap % 3 != 0, F.col("AirTemp")), "TyreLife": F.when((lap % 2 == 0) | (F.col("TyreLife") <= 20), F.col("TyreLife"))}
+        train, holdout = self.holdout_split()
+        return train.withColumns(gaps), holdout.withColumns(gaps)
