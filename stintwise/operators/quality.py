@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,3 +98,32 @@ def quality_document(rows: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.when(F.col("measure") == "invalid_tire_compounds", F.col("item")))).alias("invalid_tire_compounds"),
         F.map_from_entries(F.collect_list(F.when(is_null_share, F.struct("item", "value")))).alias("null_percentages"),
     )
+
+
+def measured(
+    df: DataFrame, value: str = "lap_time_seconds", category: str = "compound", known: Sequence[str] = KNOWN_COMPOUNDS
+) -> tuple[DataFrame, Observation]:
+    """(``df``, what is observed of its rows while they are used): all of ``quality_rows`` but the duplicates.
+
+    The observation is complete when one action over the returned frame is. Wrong labels are kept as a set, which grows
+    with the number of distinct ones, as in the report.
+    """
+    seen = Observation()
+    label = F.col(category).cast("string") if category in df.columns else F.lit(None).cast("string")
+    wrong = F.when(~F.upper(label).isin(list(known)), label)
+    return df.observe(
+        seen,
+        F.count(F.lit(1)).alias("row_count"),
+        (F.count(F.when(out_of_range(value), 1)) if value in df.columns else F.sum(F.lit(0))).alias("invalid_lap_times"),
+        F.collect_set(wrong).alias("invalid_tire_compounds"),
+        *[F.count(F.when(_missing(f), 1)).alias(f"missing/{f.name}") for f in df.schema],
+    ), seen
+
+
+def measured_rows(df: DataFrame, figures: dict) -> DataFrame:
+    """The figures of ``measured`` as (measure, item, value) rows, like those of ``quality_rows``."""
+    n = figures["row_count"]
+    rows = [("row_count", None, float(n)), ("column_count", None, float(len(df.columns))), ("invalid_lap_times", None, float(figures["invalid_lap_times"] or 0))]
+    rows += [("null_percentages", c, figures[f"missing/{c}"] * 100.0 / n if n else None) for c in df.columns]
+    rows += [("invalid_tire_compounds", label, None) for label in sorted(figures["invalid_tire_compounds"])]
+    return df.sparkSession.createDataFrame(rows, "measure string, item string, value double")

@@ -69,5 +69,10 @@ def whole_season(schedule: DataFrame, season: int | None = None) -> DataFrame:
 
 
 def keep_selected(df: DataFrame, chosen: DataFrame, keys: Sequence[str] = ("season", "race_name")) -> DataFrame:
-    """Rows whose race is in the selection."""
-    return df.join(chosen.select(*keys), list(keys), "left_semi")
+    """Rows whose race is in the selection.
+
+    Where the table is laid out by race, only the chosen races' files are read, whatever the selection comes from: a race
+    has a name, and with that condition on the chosen side the keys prune partitions while the query runs.
+    """
+    named = chosen.select(*keys).where(F.length(F.col(keys[-1])) > 0)
+    return df.join(named, list(keys), "left_semi")

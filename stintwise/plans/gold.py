@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import consistency_index, is_pit_free, strategy_type
 from ..operators.hot import HOT_ROWS, all_known, join_back
-from ..operators.ordered import neighbours, rank_within
+from ..operators.ordered import neighbours
 from ..operators.transform import share_of_group
 
 RACE = ("season", "race_name")
@@ -124,13 +124,40 @@ def race_analytics(
 ) -> DataFrame:
     """Clean-pace rank and places gained per driver, beside the benchmarks of the race.
 
-    Clean pace and benchmarks aggregate straight off narrow scans; only the
-    four columns that the gains need are shuffled by driver. The race total
-    rolls up the driver totals and reuses their exchange.
+    One scan and one exchange of the laps: the window that looks one lap back deals them by driver, and the driver's sums, counts and
+    minima need no other. Race figures and ranks come from one row a driver. Where a driver's laps are too many for a window the
+    sums combine map-side on top of the chunks.
     """
-    ranked = rank_within(clean_pace(laps, keys), race, "driver_avg_clean_lap_time", "race_pace_ranking", hot_rows=hot_rows)
-    gains = positions_gained(laps, keys, hot_rows)
-    total = gains.groupBy(*race).agg(F.sum("driver_positions_gained").alias("estimated_positions_gained"))
-    with_gains = join_back(ranked, gains, keys).fillna(0)
-    with_race = join_back(with_gains, race_benchmarks(laps, race), race)
-    return join_back(with_race, total, race).fillna(0)
+    needed = laps.select(
+        *keys, "lap_number", "position", "pit_in_time_seconds", "pit_out_time_seconds", "lap_time_seconds",
+        *[f"sector{i}_time_seconds" for i in (1, 2, 3)],
+    )
+    looked = neighbours(
+        needed, keys, ["lap_number"], {"prev_position": lambda w: F.lag("position", 1).over(w)}, back=1, ahead=0, hot_rows=hot_rows, sizes_from=laps.select(*keys)
+    )
+    gain, lap_time, free = F.col("prev_position") - F.col("position"), F.col("lap_time_seconds"), is_pit_free()
+    counted = all_known(keys) & (F.col("lap_number") > 1) & (gain > 0) & free
+    per_driver = looked.groupBy(*keys).agg(
+        F.count_if(free).alias("__free"), F.avg(F.when(free, lap_time)).alias("driver_avg_clean_lap_time"),
+        F.sum(F.when(counted, gain)).alias("driver_positions_gained"),
+        F.sum(lap_time).alias("__sum"), F.count(lap_time).alias("__n"),
+        *[F.min(f"sector{i}_time_seconds").alias(f"__best{i}") for i in (1, 2, 3)],
+    )
+    # One row a driver and race from here on; those of a race meet in a window.
+    field = Window.partitionBy(*race)
+    clean = F.col("__free") > 0
+    by_pace = field.orderBy(F.desc(clean), F.asc_nulls_first("driver_avg_clean_lap_time"))
+    whole = per_driver.withColumns(
+        {
+            "race_pace_ranking": F.rank().over(by_pace),
+            **{f"fastest_sector{i}_time": F.min(f"__best{i}").over(field) for i in (1, 2, 3)},
+            "avg_race_pace": F.try_divide(F.sum("__sum").over(field), F.sum("__n").over(field)),
+            "estimated_positions_gained": F.sum("driver_positions_gained").over(field),
+        }
+    )
+    # A driver without a clean lap does not appear; one whose clean laps have no time does.
+    columns = [
+        *keys, "driver_avg_clean_lap_time", "race_pace_ranking", "driver_positions_gained",
+        *[f"fastest_sector{i}_time" for i in (1, 2, 3)], "avg_race_pace", "estimated_positions_gained",
+    ]
+    return whole.where(clean).select(columns).fillna(0)

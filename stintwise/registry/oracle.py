@@ -548,6 +548,32 @@ ORACLE["ml_scored_rows"] = over_laps(f"SELECT {KEYS}, TRUE AS scored FROM laps")
 ORACLE["ml_evaluated_rows"] = f"SELECT count(*) AS rows, TRUE AS consistent FROM ({ORACLE['ml_split']}) WHERE part = 'holdout'"
 
 
+ORACLE["dq_observed"] = f"SELECT * FROM ({ORACLE['dq_report']}) WHERE measure <> 'duplicate_laps'"
+
+# --- gold tables after a refresh -----------------------------------------------
+
+CORRECTED = """
+corrected AS (
+  SELECT * REPLACE (CASE WHEN season = 2023 AND race_name = 'R2' AND lap_number::INT % 2 = 0 THEN lap_time_seconds + 1 ELSE lap_time_seconds END AS lap_time_seconds)
+  FROM laps WHERE NOT (season = 2024 AND race_name = 'R4'))"""
+
+
+def over_corrected(ctes: str) -> str:
+    return f"{CORRECTED},\n{ctes.replace('FROM laps', 'FROM corrected')}"
+
+
+laps_query("refreshed_driver_analytics", DRIVER_COLUMNS, "driver_analytics", over_corrected(DRIVERS))
+laps_query("refreshed_pitstop_analytics", PIT_COLUMNS, "pitstop_analytics", over_corrected(PITS))
+ORACLE["refreshed_changes"] = over_laps(
+    """SELECT season, race_name, CASE race_name WHEN 'R2' THEN 'changed' WHEN 'R3' THEN 'new' ELSE 'gone' END AS change
+  FROM (SELECT DISTINCT season, race_name FROM laps) WHERE (season = 2023 AND race_name = 'R2') OR (season = 2024 AND race_name IN ('R3', 'R4'))"""
+)
+ORACLE["sketched_medians"] = over_laps(
+    " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count({c}) AS n, TRUE AS near_middle FROM corrected" for c in ("lap_time_seconds", "tyre_life", "track_temp")),
+    CORRECTED,
+)
+
+
 def model_parts(gaps: bool) -> str:
     """CTEs ``coded`` (inputs as numbers, target, part) and ``train``: labels as places in the alphabet of the training part."""
     air = "CASE WHEN lap_number::INT % 3 <> 0 THEN air_temp END" if gaps else "air_temp"

@@ -16,8 +16,9 @@ from ..functions.names import snake_columns
 from ..functions.scalars import tidy
 from ..operators import assembly, boosting, cleaning, features, quality, selection, transform
 from ..operators.median import exact_medians
+from ..operators.median import sketched_medians as sketched_medians_of
 from ..operators.ordered import rank_within
-from ..plans import gold, model, reports, silver, views
+from ..plans import gold, model, refresh, reports, silver, views
 from ..sources import catalog, readers, sinks
 from ..sources.readers import nan_to_null
 from .workspace import Workspace
@@ -351,6 +352,13 @@ def dq_report(ws):
     return quality.quality_rows(_typed(ws), RAW_KEYS)
 
 
+@query
+def dq_observed(ws):
+    """The report's figures taken while the laps are written, without a scan of their own."""
+    _, rows = sinks.write_measured(_typed(ws), f"{ws.folder()}/measured", RACE)
+    return rows
+
+
 @query
 def dq_document(ws):
     """The nested report written as JSON and read back, a row for each column's null share."""
@@ -457,6 +465,37 @@ def catalog_roundtrip(ws):
     return ws.spark.table(f"{catalog.DATABASE}.race_analytics")
 
 
+KEPT_MEDIANS = ("lap_time_seconds", "tyre_life", "track_temp")
+
+
+@query
+def refreshed_changes(ws):
+    """What a second delivery of laps changes, found by digests of races."""
+    return ws.refreshed(KEPT_MEDIANS)[1]
+
+
+@query
+def refreshed_driver_analytics(ws):
+    """A gold table after a refresh that touched three races: the same as if all had been computed again."""
+    return catalog.read_gold(ws.spark, ws.refreshed(KEPT_MEDIANS)[0], "driver_analytics")
+
+
+@query
+def refreshed_pitstop_analytics(ws):
+    return catalog.read_gold(ws.spark, ws.refreshed(KEPT_MEDIANS)[0], "pitstop_analytics")
+
+
+@query
+def sketched_medians(ws):
+    """Medians from sketches kept per race and refreshed with it: how many values they stand for, and whether their rank is within 1 %."""
+    base, _ = ws.refreshed(KEPT_MEDIANS)
+    found = sketched_medians_of(ws.spark.read.parquet(f"{base}/{refresh.SKETCHES}"))
+    laps = ws.corrected().select(*KEPT_MEDIANS).unpivot([], list(KEPT_MEDIANS), "of", "value").where("value is not null")
+    placed = laps.join(F.broadcast(found), F.col("of") == F.col("column"))  # one row a column
+    below, upto = F.avg((F.col("value") < F.col("median")).cast("int")), F.avg((F.col("value") <= F.col("median")).cast("int"))
+    return placed.groupBy("column", "n").agg(((below <= 0.51) & (upto >= 0.49)).alias("near_middle"))
+
+
 @query
 def per_group_split(ws):
     path = f"{ws.gold_folder()}/per_race"

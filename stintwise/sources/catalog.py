@@ -55,3 +55,14 @@ def register_gold(spark: SparkSession, base: str, database: str = DATABASE) -> N
             f"PARTITIONED BY ({', '.join(PARTITIONS)}) LOCATION '{base}/{table}'"
         )
         spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+def add_partitions(spark: SparkSession, base: str, changes: DataFrame, database: str = DATABASE) -> None:
+    """Tell the registered gold tables of refreshed races (season, race_name, change), without listing their folders again."""
+    for table in GOLD_SCHEMAS:
+        for r in changes.collect():  # races
+            name = r["race_name"].replace("'", "''")
+            spec = f"PARTITION (season={r['season']}, race_name='{name}')"
+            verb = "DROP IF EXISTS" if r["change"] == "gone" else "ADD IF NOT EXISTS"
+            spark.sql(f"ALTER TABLE {database}.{table} {verb} {spec}")
+        spark.sql(f"REFRESH TABLE {database}.{table}")

@@ -2,10 +2,11 @@
 
 from conftest import SMALL_DIR
 from pyspark.sql import functions as F
-from stintwise.operators import assembly, quality
+from stintwise.operators import assembly, quality, selection
 from stintwise.plans import gold, reports, silver, views
 from stintwise.registry.queries import REGISTRY
 from stintwise.registry.workspace import Workspace
+from stintwise.sources import sinks
 from stintwise.sources.readers import read_raw
 
 
@@ -49,11 +50,6 @@ def test_aggregates_combine_before_the_shuffle(spark):
     assert "partial_covar_pop" in text
 
 
-def test_gains_are_numbered_once_for_drivers_and_races(spark):
-    text = final_plan(gold.race_analytics(Workspace(spark, SMALL_DIR).engineered()))
-    assert "ReusedExchange" in text
-
-
 def test_small_summaries_do_not_move_the_laps(spark):
     laps = Workspace(spark, SMALL_DIR).laps()
     text = plan(silver.engineer_laps(laps))
@@ -93,3 +89,37 @@ def test_properties_of_the_gold_tables(spark):
     assert {r.r for r in ranks.collect()} == {1}
     moved = silver.transform_laps(ws.laps())
     assert moved.groupBy("race_name", "lap_number").agg(F.min("sector1_delta").alias("d")).where("d <> 0").count() == 0
+
+
+def test_race_analytics_scans_and_deals_the_laps_once(spark):
+    """Gains, clean pace and benchmarks, of drivers and of races, from one scan, one exchange of laps and one of drivers."""
+    text = final_plan(gold.race_analytics(Workspace(spark, SMALL_DIR).engineered()))
+    text = text.partition("== Initial Plan ==")[0]
+    assert text.count("Scan parquet") == 1 and text.count("Exchange hashpartitioning") == 2 and "Join" not in text
+
+
+def test_a_selection_prunes_the_files_of_other_races(spark, tmp_path):
+    laps = Workspace(spark, SMALL_DIR).laps()
+    path = str(tmp_path / "selection")
+    spark.createDataFrame([(2023, "R1"), (2023, "R0")], "season int, race_name string").write.parquet(path)
+    kept = selection.keep_selected(laps, spark.read.parquet(path))
+    kept.collect()
+    executed = kept._jdf.queryExecution().executedPlan()
+    assert "dynamicpruning" in executed.toString()
+    scans = executed.collectLeaves()
+    while scans.head().nodeName().startswith(("AdaptiveSparkPlan", "ResultQueryStage", "ShuffleQueryStage", "BroadcastQueryStage")):
+        head = scans.head()
+        scans = (head.executedPlan() if head.nodeName().startswith("Adaptive") else head.plan()).collectLeaves()
+    files = {scans.apply(i).metrics().apply("numFiles").value() for i in range(scans.size()) if "Scan parquet" in scans.apply(i).nodeName()}
+    assert laps.select("season", "race_name").distinct().count() > 2 and 2 in files
+
+
+def test_quality_figures_come_with_the_write(spark, tmp_path):
+    laps = Workspace(spark, SMALL_DIR).laps()
+    table, rows = sinks.write_measured(laps, str(tmp_path / "laps"))
+    assert table.count() == laps.count()
+    assert "Scan" not in plan(rows) or "ExistingRDD" in plan(rows) or "LocalTableScan" in plan(rows)
+    whole = {(r.measure, r.item): r.value for r in quality.quality_rows(laps).collect() if r.measure != "duplicate_laps"}
+    assert {(r.measure, r.item): r.value for r in rows.collect()} == whole
+    _, none = sinks.write_measured(laps.limit(0), str(tmp_path / "none"))
+    assert {r.measure: r.value for r in none.collect() if r.item is None}["row_count"] == 0.0

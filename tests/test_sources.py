@@ -137,3 +137,58 @@ def test_quality_report_without_the_checked_columns(spark):
 def test_null_percentages_count_nan(spark):
     df = spark.createDataFrame([(float("nan"), 1), (1.0, None), (None, None), (2.0, 3)], "a double, b int")
     assert {r.column_name: r.null_pct for r in quality.null_percentages(df).collect()} == {"a": 50.0, "b": 50.0}
+
+
+def files_of(path):
+    return {str(f.relative_to(path)) for f in path.rglob("*.parquet")}
+
+
+def test_refresh_touches_only_changed_races(spark, tmp_path):
+    """A changed race has new files, a race that is gone none, all others keep theirs; the tables equal a computation from nothing."""
+    from stintwise.plans import gold, refresh
+    from stintwise.registry.workspace import Workspace
+    from stintwise.sources.catalog import as_gold, read_gold
+
+    ws = Workspace(spark, "/root/testdata/sf0.001")
+    base = tmp_path / "gold"
+    first = refresh.refresh_gold(ws.first_delivery(), str(base), medians=["tyre_life"])
+    assert {r.change for r in first.collect()} == {"new"}
+    before = {t: files_of(base / t) for t in ("driver_analytics", "race_analytics", refresh.SKETCHES)}
+    changes = {(r.season, r.race_name): r.change for r in refresh.refresh_gold(ws.corrected(), str(base), medians=["tyre_life"]).collect()}
+    assert changes == {(2023, "R2"): "changed", (2024, "R3"): "new", (2024, "R4"): "gone"}
+    touched = {f"season={s}/race_name={r}" for s, r in changes}
+    for table, files in before.items():
+        now = files_of(base / table)
+        assert {f for f in now if f.rpartition("/")[0] not in touched} == {f for f in files if f.rpartition("/")[0] not in touched}
+        assert not any(f.startswith("season=2024/race_name=R4") for f in now)
+        assert {f for f in now if "race_name=R2" in f and "2023" in f}.isdisjoint(files)
+    for table in ("driver_analytics", "pitstop_analytics", "tire_analytics"):
+        whole = as_gold(getattr(gold, table)(ws.corrected()), table)
+        kept = read_gold(spark, str(base), table)
+        assert kept.count() == whole.count() and kept.select(*[c for c, t in kept.dtypes if t != "double"]).exceptAll(whole.select(*[c for c, t in kept.dtypes if t != "double"])).count() == 0
+    assert refresh.refresh_gold(ws.corrected(), str(base)).count() == 0
+
+
+def test_digests_see_nulls_moves_and_copies(spark):
+    from stintwise.plans.refresh import race_digests
+
+    schema = "season int, race_name string, a double, b double"
+    base = [(1, "R", 1.0, None), (1, "R", 2.0, 3.0)]
+    variants = [base, [(1, "R", None, 1.0), base[1]], [*base, base[0]], base[:1], [*base, base[0], base[0]]]
+    digests = [tuple(race_digests(spark.createDataFrame(v, schema)).first()) for v in variants]
+    assert len(set(digests)) == len(variants)
+    assert tuple(race_digests(spark.createDataFrame(base[::-1], schema).repartition(3)).first()) == digests[0]
+
+
+def test_partitions_are_registered_one_by_one(spark, tmp_path):
+    from stintwise.plans import refresh
+    from stintwise.registry.workspace import Workspace
+    from stintwise.sources import catalog
+
+    ws, base = Workspace(spark, "/root/testdata/sf0.001"), str(tmp_path / "gold")
+    refresh.refresh_gold(ws.first_delivery(), base)
+    catalog.register_gold(spark, base, "kept_up")
+    catalog.add_partitions(spark, base, refresh.refresh_gold(ws.corrected(), base), "kept_up")
+    races = {tuple(r) for r in spark.table("kept_up.driver_analytics").select("season", "race_name").distinct().collect()}
+    assert (2024, "R3") in races and (2024, "R4") not in races
+    assert spark.table("kept_up.race_analytics").count() == catalog.read_gold(spark, base, "race_analytics").count()
