@@ -30,6 +30,7 @@ HEADLINE = [
     "clean_laps", "column_medians", "dq_report", "asof_weather", "lap_assembly", "per_group_split",
     "race_overview", "ols_trendline", "heuristic_lap_time",
     "star_price_above_best", "star_usage_share", "star_customer_rank", "star_asof_orders",
+    "gold_from_raw_driver", "gold_from_raw_tire", "gold_from_raw_pitstop", "gold_from_raw_race", "ml_first_split", "ml_fixed_forest",
 ]
 RUNS = 3
 

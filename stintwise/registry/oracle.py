@@ -479,6 +479,7 @@ ORACLE["raw_race_read"] = over_laps(
   {tidy('CASE WHEN NOT isnan(tyre_life) THEN tyre_life END')} AS "TyreLife", {tidy('CASE WHEN NOT isnan(position) THEN position END')} AS "Position" FROM raw""",
     RAW,
 )
+ORACLE["single_race_read"] = f"SELECT * FROM ({ORACLE['raw_race_read']}) WHERE season = 2023 AND race_name = 'R1'"
 
 # --- analysis pages ------------------------------------------------------------
 

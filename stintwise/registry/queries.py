@@ -435,6 +435,14 @@ def raw_race_read(ws):
     return read.select(*RACE, "Driver", "LapNumber", "LapTime", "Compound", "TyreLife", "Position")
 
 
+@query
+def single_race_read(ws):
+    """One race read alone from a file of its own."""
+    base = f"{ws.folder()}/single"
+    sinks.write_table(views.one_race(ws.raw(), 2023, "R1"), readers.race_file(base, 2023, "R1"))
+    return readers.read_race(ws.spark, base, 2023, "R1").select(*RACE, "Driver", "LapNumber", "LapTime", "Compound", "TyreLife", "Position")
+
+
 @query
 def race_slug(ws):
     long_name = F.concat(F.lit("Grand Prix "), "EventName")

@@ -5,7 +5,6 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +38,7 @@ def race_file(base: str, season: int, race_name: str, prefix: str = "") -> str:
 def read_race(spark: SparkSession, base: str, season: int, race_name: str) -> DataFrame:
     """One race; a missing file is an error."""
     path = race_file(base, season, race_name)
-    if not _exists(spark, path):
+    if path.rpartition("/")[2] not in _listed(spark, base):
         raise FileNotFoundError(f"no race file at {path}")
     return read_raw(spark, path)
 
@@ -47,12 +46,12 @@ def read_race(spark: SparkSession, base: str, season: int, race_name: str) -> Da
 def read_races(spark: SparkSession, base: str, races: Iterable[tuple[int, str]]) -> DataFrame:
     """All listed races that exist, as one scan; absent ones are reported and skipped.
 
-    The paths go to a single reader, so the plan does not grow with the list.
+    The folder is listed once, and the paths go to a single reader, so neither calls nor plan grow with the list.
     """
-    found = []
+    there, found = _listed(spark, base), []
     for season, race_name in races:
         path = race_file(base, season, race_name)
-        if _exists(spark, path):
+        if path.rpartition("/")[2] in there:
             found.append(path)
         else:
             logger.warning("skipped %s %s: no file at %s", season, race_name, path)
@@ -61,14 +60,11 @@ def read_races(spark: SparkSession, base: str, races: Iterable[tuple[int, str]])
     return read_raw(spark, *found)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-    return True
+def _listed(spark: SparkSession, base: str) -> set[str]:
+    """Names of the files and folders in ``base``, on whatever store it is; none where there is no such folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(base)
+    store = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in store.listStatus(at)} if store.exists(at) else set()
 
 
 def require_columns(df: DataFrame, required: Sequence[str] = REQUIRED_RAW_COLUMNS) -> DataFrame:
