@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -36,18 +37,17 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 
 def packed(vectors: DataFrame) -> DataFrame:
-    """``vec_id, v, norm2``: usable rows of the commonest length (the shorter of two), as packed doubles."""
+    """``vec_id, v, norm2, dims``: usable rows as packed doubles."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"))
-    rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("e"))).withColumn("dims", F.size("e"))
-    common = rows.groupBy("dims").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dims").first()
+    rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("e")))
 
     def run(batches):
         for batch in batches:
-            flat = np.asarray(batch.column("e").flatten(), np.float64).reshape(batch.num_rows, -1)
-            arrays = [batch.column("vec_id"), pa.array([r.tobytes() for r in flat], pa.binary()), pa.array((flat * flat).sum(axis=1))]
-            yield pa.RecordBatch.from_arrays(arrays, ["vec_id", "v", "norm2"])
+            own = [np.asarray(e, np.float64) for e in batch.column("e").to_pylist()]
+            arrays = [batch.column("vec_id"), pa.array([e.tobytes() for e in own], pa.binary()), pa.array([float((e * e).sum()) for e in own], pa.float64()), pa.array([len(e) for e in own], pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["vec_id", "v", "norm2", "dims"])
 
-    return rows.where(F.col("dims") == (common["dims"] if common else 0)).select("vec_id", "e").mapInArrow(run, "vec_id long, v binary, norm2 double")
+    return rows.select("vec_id", "e").mapInArrow(run, "vec_id long, v binary, norm2 double, dims long")
 
 
 def augmented(x: np.ndarray, longest2: float) -> np.ndarray:
@@ -102,16 +102,19 @@ class Tree:
                     todo.append((at, mine))
         return out
 
-    def visits(self, q: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves that a best-bin-first walk opens for one query."""
+    def visits(self, q: np.ndarray, most: int, held: np.ndarray | None = None, least: int = 0) -> list[int]:
+        """The first ``most`` leaves that a best-bin-first walk opens for one query, and as many more as it takes until the
+        rows in them, ``held`` by leaf, are ``least``."""
         if not self.children:
             return [0]
+        rows = 0
         x, found, queue = np.r_[q, 0.0][None], [], [(0.0, 0, ("node", 0))]
         tie = 0
-        while queue and len(found) < most:
+        while queue and (len(found) < most or rows < least):
             _, _, (kind, at) = heapq.heappop(queue)
             if kind == "leaf":
                 found.append(at)
+                rows += 0 if held is None else int(held[at])
                 continue
             centres, below = self.children[at]
             for d, child in zip(dist2(x, centres)[0].tolist(), below):
@@ -202,14 +205,22 @@ def nearest(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row whose id is divisible by ``every``, its ``k`` nearest found.
 
-    Vectors that are null, zero, or hold null or non-finite components take no part, nor do those of another length
-    than most, nor rows without an id. Rows that repeat an id are candidates each, but never for their own id.
+    Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without an id. Rows that repeat an
+    id are candidates each, but never for their own id. An inner product is of vectors of one length, so each length has an
+    index of its own.
 
     A node is split while it holds more than a ``spread``-th of the sample, and more than ``leaf`` rows: the tree has a
     few hundred leaves at every size of the table, so the visits of a query, which are moved, do not grow with it.
     """
-    spark = vectors.sparkSession
     rows = staged(packed(vectors), "ann-rows")
+    lengths = sorted(r["dims"] for r in rows.select("dims").distinct().collect())  # as many as there are lengths
+    settings = (every, k, sample, fan, spread, leaf, recall, calibration, part)
+    found = [_nearest_of_length(rows.where(F.col("dims") == d).drop("dims"), *settings) for d in lengths or [0]]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest_of_length(rows: DataFrame, every: int, k: int, sample: int, fan: int, spread: int, leaf: int, recall: float, calibration: int, part: int) -> DataFrame:
+    spark = rows.sparkSession
     longest2 = float(rows.agg(F.max("norm2")).first()[0] or 0.0)
     fitting = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").collect()  # at most ``sample`` vectors
     tree = Tree(matrix([bytes(r["v"]) for r in fitting]), longest2, fan, max(leaf, len(fitting) // spread))
@@ -223,13 +234,21 @@ def nearest(
     index = staged(rows.select("vec_id", "v").mapInArrow(descend, "vec_id long, v binary, leaf long"), "ann-index")
     queries = index.where(F.col("vec_id") % every == 0)
     visits = calibrated_visits(index, queries, tree, k, recall, calibration)
+    # A query's own id takes no part, so it must reach as many rows beyond k as have that id.
+    copies = index.groupBy(F.col("vec_id").alias("own_id")).agg(F.count("*").alias("own")).where(F.col("own_id") % every == 0)
+    asking = queries.join(copies, F.col("vec_id").eqNullSafe(F.col("own_id"))).select("vec_id", "v", "own")
+    held = np.zeros(max(1, tree.leaves), np.int64)
+    for r in index.groupBy("leaf").agg(F.count("*").alias("n")).collect():  # a row a leaf
+        held[r["leaf"]] = r["n"]
+    in_leaves = spark.sparkContext.broadcast(held)
 
     def walk(batches):
         for batch in batches:
-            lists = [shared.value.visits(v, visits) for v in matrix(batch.column("v"))]
+            near = zip(matrix(batch.column("v")), batch.column("own").to_pylist())
+            lists = [shared.value.visits(v, visits, in_leaves.value, k + own) for v, own in near]
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array(lists, pa.list_(pa.int64()))], ["vec_id", "v", "leaves"])
 
-    walked = queries.select("vec_id", "v").mapInArrow(walk, "vec_id long, v binary, leaves array<long>")
+    walked = asking.mapInArrow(walk, "vec_id long, v binary, leaves array<long>")
     visited = staged(walked, "ann-visits")
     asked = visited.select("vec_id", "v", F.explode("leaves").alias("leaf"))
     parts = lambda df, name: df.groupBy("leaf").agg(F.ceil(F.count("*") / part).alias(name))
