@@ -12,6 +12,7 @@ from conftest import SMALL_DIR
 from pyspark.sql import functions as F
 from stintwise.llm.mixing import mix_sources
 from stintwise.llm.quality import quality_scores
+from stintwise.llm.similar import similar_to_lower
 
 STAGES = dict(corpus_pipeline.STAGES)
 CLASHES = ["score", "key", "sha", "own", "times", "copy", "lowest", "row", "size", "rank", "fp", "node", "group", "spans"]
@@ -50,17 +51,15 @@ def test_exact_keeps_the_largest_id(spark, docs):
     assert ids(STAGES["exact"](spark, docs, SMALL_DIR)) == Counter(last.values())
 
 
-def test_near_keeps_the_smallest_id_of_a_component(spark, docs):
-    rows = [(r.doc_id, fingerprint(r.text)) for r in docs.collect()]
-    values = np.array([v for _, v in rows], np.uint64)
-    low = np.array([i for i, _ in rows])
+def lowest_of_components(rows):
+    """The smallest ids of the components that fingerprints of at most 4 differing bits make."""
+    values, low = np.array([fingerprint(t) for _, t in rows], np.uint64), np.array([i for i, _ in rows])
     linked = np.bitwise_count(values[:, None] ^ values[None]) <= 4
     while True:
         new = np.where(linked, low[None], np.iinfo(np.int64).max).min(axis=1)
         if (new == low).all():
-            break
+            return set(low.tolist())
         low = new
-    assert ids(STAGES["near"](spark, docs, SMALL_DIR)) == Counter(set(low.tolist()))
 
 
 def shingles(text):
@@ -72,8 +71,19 @@ def alike(one, two):
     return len(one & two) >= 0.8 * len(one | two) > 0
 
 
-def test_similar_leaves_no_near_copy_behind(spark, docs):
-    """Two scattered words of 200 differ, similarity 0.9: mostly more than 4 bits apart, so the SimHash stage keeps them."""
+def test_near_leaves_one_of_each_group(spark, docs):
+    """By brute force: of SimHash components the smallest ids; of these no two alike stay, and who goes is alike to a smaller one."""
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    lowest = lowest_of_components(rows)
+    whole = [(i, shingles(t)) for i, t in rows if i in lowest]
+    stay = set(ids(STAGES["near"](spark, docs, SMALL_DIR)))
+    tied = {i: {j for j, t in whole if j < i and alike(s, t)} for i, s in whole}
+    assert stay <= lowest and len(stay) < len(rows)
+    assert all(not tied[i] & stay for i in stay) and all(tied[i] for i in lowest - stay)
+
+
+def test_similar_finds_what_is_over_four_bits_apart(spark, docs):
+    """Two scattered words of 200 differ, similarity 0.9: mostly more than 4 bits apart."""
     random.seed(4)
     rows = []
     for i in range(40):
@@ -82,13 +92,30 @@ def test_similar_leaves_no_near_copy_behind(spark, docs):
         words[50 + i], words[150] = "other", "words"
         rows.append((100 + i, " ".join(words)))
     edited = spark.createDataFrame(rows, "doc_id long, text string")
-    after = STAGES["near"](spark, edited, SMALL_DIR)
-    assert after.count() > 45
-    assert ids(STAGES["similar"](spark, after, SMALL_DIR)) == Counter(range(40))
+    assert len(lowest_of_components(rows)) > 45
+    assert {r.similar_id for r in similar_to_lower(edited).collect()} == set(range(100, 140))
+    assert ids(STAGES["near"](spark, edited, SMALL_DIR)) == Counter(range(40))
     whole = [(r.doc_id, shingles(r.text)) for r in docs.collect()]
-    stay = set(ids(STAGES["similar"](spark, docs, SMALL_DIR)))
+    gone = {r.similar_id for r in similar_to_lower(docs).collect()}
     tied = {i: {j for j, t in whole if j < i and alike(s, t)} for i, s in whole}
-    assert all(not tied[i] & stay for i in stay) and all(tied[i] for i, _ in whole if i not in stay) and len(stay) < len(whole)
+    assert all(tied[i] <= gone for i in tied if i not in gone) and all(tied[i] for i in gone) and gone
+
+
+def test_similar_in_a_large_group_of_near_copies(spark):
+    """300 edits of one text, many of them just below 0.8 to each other, go through all rounds and longer keys."""
+    random.seed(9)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(300):
+        words = list(base)
+        for at in random.sample(range(60), random.randint(0, 2)):
+            words[at] = f"x{random.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    sets = dict((i, shingles(t)) for i, t in rows)
+    gone = {r.similar_id for r in similar_to_lower(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    stay = sorted(set(sets) - gone)
+    pairs = [(i, j) for n, i in enumerate(stay) for j in stay[:n] if alike(sets[i], sets[j])]
+    assert not pairs and all(any(alike(sets[i], sets[j]) for j in range(i)) for i in gone)
 
 
 def test_mixed_takes_whole_documents(spark, docs):
