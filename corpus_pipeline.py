@@ -36,21 +36,22 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, the one with the largest id; of repeated rows one. A null text is empty."""
     key, sha = _free(docs, "key"), _free(docs, "sha")
     text = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
-    kept = exact_dedup(docs).where("kept").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(key), F.col("text_sha256").alias(sha))
+    kept = exact_dedup(docs, is_table=True).where("kept").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(key), F.col("text_sha256").alias(sha))
     rows = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), sha: F.sha2(text.cast("binary"), 256)})
     return rows.join(kept, [key, sha], "left_semi").dropDuplicates([key, sha]).select(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by SimHash the document with the smallest id; documents without an id stay."""
-    lowest = simhash_groups(docs).where("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias("lowest")).distinct()
-    return docs.join(lowest, docs["doc_id"].cast("long").eqNullSafe(lowest["lowest"]), "left_semi")
+    """Of each group linked by SimHash the document with the smallest id; of those each but the ones alike to one with a smaller id.
 
-
-def similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What SimHash leaves, less each document of which 0.8 or more of the five-word shingles are those of one with a smaller id."""
-    gone = similar_to_lower(docs)
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["similar_id"], "left_anti")
+    Alike: 0.8 or more of their five-word shingles are common, which SimHash at 4 bits does not always see. Documents without an id stay.
+    """
+    lowest = staged(simhash_groups(docs).where("doc_id = component_id").select(F.col("doc_id").alias("among_id")).distinct(), "pipeline-lowest")
+    gone = similar_to_lower(docs, among=lowest)
+    kept = lowest.join(gone, F.col("among_id") == F.col("similar_id"), "left_anti")
+    own = docs["doc_id"].cast("long")
+    # Rows without an id go by themselves, so that they need not meet in one task.
+    return docs.where(own.isNotNull()).join(kept, own == kept["among_id"], "left_semi").unionByName(docs.where(own.isNull()))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,7 +71,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), window=2048, end=1)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality", quality), ("exact", exact), ("near", near), ("similar", similar), ("mixed", mixed), ("packed", packed)]
+STAGES: list[tuple[str, Stage]] = [("quality", quality), ("exact", exact), ("near", near), ("mixed", mixed), ("packed", packed)]
 
 #: No SQL: the classifier, the fingerprints and the packing are beyond it; tests/llm hold each stage against brute force.
 ORACLE_SQL: str | None = None
