@@ -27,7 +27,6 @@ BITS_APART = 4
 SHINGLE = 4
 PIECE = 2048
 FAN = 16
-SHORT = 48
 SEGMENTS = [11, 11, 11, 11, 10, 10]
 
 
@@ -181,19 +180,6 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def short_runs(fps: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links inside many short runs at once, by how far apart the two stand."""
-    end = np.repeat(starts + sizes, sizes)
-    at = np.concatenate([np.arange(s, s + n) for s, n in zip(starts.tolist(), sizes.tolist())]) if len(starts) else np.zeros(0, np.int64)
-    found = []
-    for lag in range(1, int(sizes.max(initial=1))):
-        keep = at + lag < end
-        at, end = at[keep], end[keep]
-        near = at[np.bitwise_count(fps[at] ^ fps[at + lag]) <= BITS_APART]
-        found.append(np.stack([near, near + lag]))
-    return tuple(np.concatenate(found, axis=1)) if found else (at[:0], at[:0])
-
-
 EDGE_SCHEMA = "a long, b long, slot int, key long, piece long, every long, some long, fps binary, reps binary"
 
 
@@ -223,21 +209,23 @@ def link_sorted(batches):
         sizes = np.diff(np.r_[cut, len(fps)])
         outer = (slot[cut] == first_key[0]) & (key[cut] == first_key[1])
         outer[-1] |= last
-        small = (sizes > 1) & (sizes <= SHORT)
-        a, b = short_runs(fps, cut[small], sizes[small])
-        yield _edges(rep[a], rep[b])
-        for i in np.flatnonzero((sizes > SHORT) | outer).tolist():
+        found: list = []
+        for i in np.flatnonzero((sizes > 1) | outer).tolist():
             many = outer[i] or sizes[i] > PIECE
             for s in range(cut[i], cut[i] + sizes[i], PIECE):
                 e = min(s + PIECE, cut[i] + sizes[i])
-                if sizes[i] > SHORT and e - s > 1:
+                if e - s > 1:
                     tree = levels(fps[s:e])
-                    root = forest(e - s, *search(tree, tree, True))
-                    joined = np.flatnonzero(root != np.arange(e - s))
-                    yield _edges(rep[s:e][root[joined]], rep[s:e][joined])
+                    a, b = search(tree, tree, True)
+                    if len(a):
+                        root = forest(e - s, a, b)
+                        joined = np.flatnonzero(root != np.arange(e - s))
+                        found.append((rep[s:e][root[joined]], rep[s:e][joined]))
                 if many:
                     pieces += 1
                     yield _piece(int(slot[s]), int(key[s]), (partition << 32) + pieces, fps[s:e], rep[s:e])
+        if found:
+            yield _edges(*map(np.concatenate, zip(*found)))
 
     def columns(batch):
         return [batch.column(n).to_numpy(zero_copy_only=False) for n in ("slot", "key", "rank", "rep")]
