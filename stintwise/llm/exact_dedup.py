@@ -21,17 +21,20 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COLUMNS = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
 
 
-def exact_dedup(docs: DataFrame, first_digit: int = 64, widening: int = 16) -> DataFrame:
+def exact_dedup(docs: DataFrame, first_digit: int = 64, widening: int = 16, is_table: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Texts are equal when identical after lower-casing A-Z; null is the empty text, so null and empty
     texts are one group. The largest ``doc_id`` of a group stays; a null id is smaller than any other.
-    Of repeated rows that tie for it exactly one is kept. Extra columns are ignored.
+    Of repeated rows that tie for it exactly one is kept. Extra columns are ignored. ``is_table`` says that ``docs`` is read
+    straight from files, in which rows stand alike each time; anything else is written first, since rows are numbered.
     """
     text = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("t"), F.monotonically_increasing_id().alias("row")).select(
         "doc_id", "row", F.sha2(F.col("t").cast("binary"), 256).alias("text_sha256"), F.lit(0).cast("long").alias("group"), F.col("t").cast("binary").alias("rest")
     )
+    if not is_table:  # the numbers are read more than once below
+        rows = staged(rows, "radix-texts")
     decided, width = [], first_digit
     while True:
         keys = ["group", "digit", "ended"]
