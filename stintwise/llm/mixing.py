@@ -54,7 +54,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, mos
 
 
 def slot_ranks(spark, n_slots: int, shares: DataFrame, cells: int, run: int = 4096) -> DataFrame:
-    """``nth, rank``: the golden-ratio points mapped to sources and ranked within each by slot.
+    """``nth, rank, slot``: the golden-ratio points mapped to sources and ranked within each by slot.
 
     ``shares`` has ``nth, low, high``: each source's stretch of [0, 1). A point meets only the stretches in its
     own cell of the line. Ranks come from counts per run of slots plus the rank inside the run.
@@ -68,13 +68,16 @@ def slot_ranks(spark, n_slots: int, shares: DataFrame, cells: int, run: int = 40
     opening = F.coalesce(F.sum("n").over(W.partitionBy("nth").orderBy("run").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     starts = counts.select("nth", "run", opening.alias("opening"))
     inside = F.row_number().over(W.partitionBy("nth", "run").orderBy("slot")) - 1
-    return taken.withColumn("r", inside).join(starts, ["nth", "run"]).select("nth", (F.col("r") + F.col("opening")).alias("rank"))
+    return taken.withColumn("r", inside).join(starts, ["nth", "run"]).select("nth", (F.col("r") + F.col("opening")).alias("rank"), "slot")
 
 
 def mix_sources(
     docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, block: int = 4096, least_slots: int = 500, seed: str = "mix", bucket_rows: int = 20_000
 ) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` for every row of ``docs``.
+    """``doc_id, size, source_size, target, taken, first_slot`` for every row of ``docs``.
+
+    ``first_slot`` is the place in the mix at which a document is first reached, null for one that is not: up to any slot each
+    source has had the share of slots that the points give it.
 
     Null and empty texts have size 0 and nothing taken. A null source is a source of its own, the last. A
     null id is shuffled as the empty text. Repeated rows take their own place each. ``block`` is the number of words
@@ -96,10 +99,11 @@ def mix_sources(
     low = F.greatest(F.col("start"), F.col("block") * block) - F.col("block") * block
     high = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.col("block") * block
     cut = pieces.select("row", "nth", "block", low.alias("low"), high.alias("high"))
-    used = slots.groupBy("nth", "block").agg(F.collect_list("take").alias("takes"))
+    used = slots.groupBy("nth", "block").agg(F.collect_list("take").alias("takes"), F.min(F.struct("slot", "take")).alias("first"))
     got = F.aggregate("takes", F.lit(0).cast("long"), lambda a, t: a + F.greatest(F.lit(0), F.least(F.col("high"), t) - F.col("low")))
-    taken = cut.join(used, ["nth", "block"]).groupBy("row").agg(F.sum(got).alias("taken"))
-    return placed.join(taken, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+    reached = F.when(F.col("low") < F.col("first.take"), F.col("first.slot"))  # a later slot of the block never takes more of it
+    taken = cut.join(used, ["nth", "block"]).groupBy("row").agg(F.sum(got).alias("taken"), F.min(reached).alias("first_slot"))
+    return placed.join(taken, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "first_slot")
 
 
 def _laid_out(sized: DataFrame, targets: DataFrame, buckets: int, seed: str) -> DataFrame:
@@ -117,9 +121,9 @@ def _laid_out(sized: DataFrame, targets: DataFrame, buckets: int, seed: str) ->
 
 
 def _schedule(spark, targets: DataFrame, words: float, block: int) -> DataFrame:
-    """``nth, block, take``: each used slot's block of its source and how many of its words it takes.
+    """``nth, slot, block, take``: each used slot's block of its source and how many of its words it takes.
 
-    The sequence may leave a source a few slots short of its target; those slots follow at the end.
+    The sequence may leave a source a few slots short of its target; those follow at the end, at one slot beyond its last.
     """
     goal = F.floor("target")
     per_pass = F.ceil(F.col("source_size") / block)
@@ -135,9 +139,9 @@ def _schedule(spark, targets: DataFrame, words: float, block: int) -> DataFrame:
     ranked = slot_ranks(spark, n_slots, plan.select("nth", "low", "high"), max(4096, 4 * n_sources))
     reached = ranked.groupBy("nth").agg(F.count("*").alias("got"))
     short = plan.join(reached, "nth", "left").select("nth", F.coalesce("got", F.lit(0)).alias("got"), "need").where("got < need")
-    rest = short.select("nth", F.explode(F.sequence(F.col("got"), F.col("need") - 1)).alias("rank"))
-    slots = ranked.select("nth", "rank").unionByName(rest).join(plan, "nth").where("rank < need")
+    rest = short.select("nth", F.explode(F.sequence(F.col("got"), F.col("need") - 1)).alias("rank"), F.lit(n_slots).cast("long").alias("slot"))
+    slots = ranked.select("nth", "rank", "slot").unionByName(rest).join(plan, "nth").where("rank < need")
     place = F.expr("rank % per_pass")
     at = F.expr("rank div per_pass") * F.col("source_size") + place * block
     length = F.least(F.lit(block), F.col("source_size") - place * block)
-    return slots.select("nth", place.alias("block"), F.least(length, F.col("goal") - at).cast("long").alias("take"))
+    return slots.select("nth", "slot", place.alias("block"), F.least(length, F.col("goal") - at).cast("long").alias("take"))

@@ -48,7 +48,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(documents(spark, sf_dir))
+    return exact_dedup(documents(spark, sf_dir), is_table=True)
 
 
 @query
@@ -125,12 +125,38 @@ ORACLE: dict[str, str] = {
                         ELSE least(most, (SELECT arg_min(level, (most / weight, nth)) FROM l WHERE most > level * weight) * weight) END AS target
             FROM l
         ), p AS (
-            SELECT d.doc_id, d.size, t.source_size, t.target,
+            SELECT d.doc_id, d.size, t.source, t.source_size, t.target,
                    (sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('mix:' || d.doc_id), d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size)::BIGINT AS start
             FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+        ), b AS (
+            SELECT greatest(1, least(4096, floor(sum(target) / (count(*) * 500))::BIGINT)) AS block,
+                   sum(target) AS words, count(*) AS n_sources FROM t
+        ), plan AS (
+            SELECT source, source_size, floor(target)::BIGINT AS goal, block, -((-source_size) // block) AS per_pass, ceil(words / block)::BIGINT + n_sources AS n_slots,
+                   coalesce(sum(target) OVER (ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / words AS low
+            FROM t, b WHERE source_size > 0
+        ), need AS (
+            SELECT *, lead(low, 1, 1.0::DOUBLE) OVER (ORDER BY source NULLS LAST) AS high,
+                   goal // source_size * per_pass + ceil(goal % source_size / block::DOUBLE)::BIGINT AS need FROM plan
+        ), points AS (
+            SELECT slot, ((slot + 0.5::DOUBLE) * ((sqrt(5::DOUBLE) - 1) / 2)) % 1.0::DOUBLE AS point
+            FROM (SELECT unnest(range(n_slots)) AS slot FROM (SELECT max(n_slots) AS n_slots FROM need))
+        ), ranked AS (
+            SELECT source, slot, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS rank
+            FROM points JOIN need ON low <= point AND point < high
+        ), used AS (
+            SELECT n.source, n.block, r.rank % n.per_pass AS place, coalesce(s.slot, n.n_slots) AS slot,
+                   least(least(n.block, n.source_size - r.rank % n.per_pass * n.block), n.goal - (r.rank // n.per_pass * n.source_size + r.rank % n.per_pass * n.block)) AS take
+            FROM (SELECT *, unnest(range(need)) AS rank FROM need) r JOIN need n ON n.source IS NOT DISTINCT FROM r.source
+            LEFT JOIN ranked s ON s.source IS NOT DISTINCT FROM r.source AND s.rank = r.rank
+        ), met AS (
+            SELECT p.doc_id, p.size, p.source_size, p.target, p.start, min(u.slot) AS first_slot
+            FROM p LEFT JOIN used u ON p.source IS NOT DISTINCT FROM u.source AND p.size > 0
+              AND u.place BETWEEN p.start // u.block AND (p.start + p.size - 1) // u.block AND greatest(p.start - u.place * u.block, 0) < u.take
+            GROUP BY ALL
         )
         SELECT doc_id, size, source_size, target,
                (greatest(0, least(start + size, floor(target)::BIGINT) - start)
-                + greatest(0, least(start + size, floor(target)::BIGINT - source_size) - start))::BIGINT AS taken
-        FROM p""",
+                + greatest(0, least(start + size, floor(target)::BIGINT - source_size) - start))::BIGINT AS taken, first_slot::BIGINT AS first_slot
+        FROM met""",
 }
