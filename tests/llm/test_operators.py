@@ -240,7 +240,6 @@ def test_simhash(docs, empty):
 def test_simhash_links_in_crowded_runs(spark, monkeypatch, piece):
     """Fingerprints a few bits around few centres share most keys; pieces, edges and whole groups must lose nothing."""
     monkeypatch.setattr(simhash, "PIECE", piece)
-    monkeypatch.setattr(simhash, "SHORT", 6)
     random.seed(5)
     values = set()
     for _ in range(4):
@@ -305,3 +304,78 @@ def test_suffix_dedup(docs, empty):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     assert differences(REGISTRY[name](spark, SF_DIR), duck(SF_DIR), ORACLE[name]) == []
+
+
+def test_language_letters_and_code_lengths(spark, docs):
+    """Numerals that are no digits are no letters; costs are those of a plain PPM over all counts."""
+    import math
+
+    from stintwise.llm import language_id
+
+    odd = [(900, "½ ½ ²"), (901, "① ②"), (902, "Ⅷ 12 ٣ _"), (903, "½a"), (904, "ª")]
+    rows = spark.createDataFrame([(i, t, None, None, "x", 7, 1, "k", "n") for i, t in odd], SCHEMA)
+    found = {r.doc_id: r.lang_pred for r in detect_language(docs.unionAll(rows)).collect()}
+    assert [found[i] for i in (900, 901, 902)] == ["und"] * 3 and found[903] != "und" and found[904] != "und"
+
+    learned = [t for i, t, lang in ((r.doc_id, r.text, r.lang) for r in docs.collect()) if lang == "en" and __import__("zlib").crc32(str("" if i is None else i).encode()) % 3 != 1]
+    counts = {}
+    for text in learned:
+        for word in language_id.WORD.findall((text or "").lower()):
+            coded = b"\x01" + word.encode() + b"\x02"
+            for at in range(1, len(coded)):
+                for k in range(min(4, at) + 1):
+                    counts.setdefault(coded[at - k : at], Counter())[coded[at]] += 1
+
+    def bits(context, byte):
+        p = 1.0
+        for k in range(len(context) + 1):
+            node = counts.get(context[k:])
+            if node:
+                whole = sum(node.values()) + len(node)
+                if byte in node:
+                    return -math.log2(p * node[byte] / whole)
+                p *= len(node) / whole
+        return -math.log2(p / 257)
+
+    trees = language_id.train_languages(docs, sample=10**6)
+    place = trees.languages.index("en")
+    for gram in (b"\x01alph", b"alpha", b"eta\x02", b"\x01zq", b"zzzzq", b"\x01\xd0", b"mma\x02"):
+        assert trees.costs(gram)[place] == pytest.approx(bits(gram[:-1], gram[-1]))
+
+
+def test_nearest_of_two_lengths_and_tight_clusters(spark):
+    """Every usable row takes part whatever its length, and a query finds k rows even where its own leaves hold few."""
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.normal(size=8 if i % 5 < 3 else 5).tolist()) for i in range(400)]
+    rows += [(1000 + i, (np.array([50.0, 0, 0, 0, 0, 0, 0, 0]) + 1e-3 * rng.normal(size=8)).tolist()) for i in range(25)]
+    found = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=20, k=20, leaf=4, recall=0.5, calibration=8).collect()
+    answers = Counter(r.query_id for r in found)
+    asked = [i for i, _ in rows if i % 20 == 0]
+    assert answers == {i: 20 for i in asked}
+    length = {i: len(v) for i, v in rows}
+    assert all(length[r.query_id] == length[r.vec_id] and r.query_id != r.vec_id for r in found)
+
+
+def test_mix_follows_the_points(spark, docs, monkeypatch):
+    """Shares of every prefix of the mix come from the sequence; other points give documents other places."""
+    from stintwise.llm import mixing
+
+    shares = spark.createDataFrame([(0, 0.0, 0.5), (1, 0.5, 0.6), (2, 0.6, 1.0)], "nth long, low double, high double")
+    slots = mixing.slot_ranks(spark, 2000, shares, 64, run=100).orderBy("slot").collect()
+    assert [s.slot for s in slots] == list(range(2000))
+    for upto in (10, 100, 777, 2000):
+        got = Counter(s.nth for s in slots[:upto])
+        assert all(abs(got[nth] - upto * share) <= 3 for nth, share in ((0, 0.5), (1, 0.1), (2, 0.4)))
+    places = sorted((str(r.doc_id), r.taken, r.first_slot) for r in mix_sources(docs).collect())
+    monkeypatch.setattr(mixing, "GOLDEN", 0.0)
+    others = sorted((str(r.doc_id), r.taken, r.first_slot) for r in mix_sources(docs).collect())
+    assert [p[:2] for p in places] == [p[:2] for p in others] and places != others
+    assert all((slot is None) == (taken == 0) for _, taken, slot in places)
+
+
+def test_exact_dedup_of_rows_from_a_shuffle(spark, docs):
+    """Row numbers are written once, so a source that comes in another order each time still keeps one row a group."""
+    shuffled = docs.orderBy(F.rand()).repartition(7)
+    found = exact_dedup(shuffled).collect()
+    groups = Counter(r.text_sha256 for r in found)
+    assert Counter(r.text_sha256 for r in found if r.kept) == {sha: 1 for sha in groups}
