@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,18 @@ from pyspark.sql import functions as F
 
 from .common import held_out, small_batches, texts_of
 
-WORD = re.compile(r"[^\W\d_]+")
+
+
+def _other_numerals() -> str:
+    """Ranges of what counts as part of a word to ``re`` without being a letter or a digit: fractions, Roman and circled numerals."""
+    odd = [c for c in range(0x80, 0x110000) if (t := chr(c)).isalnum() and not t.isalpha() and not t.isdecimal()]
+    first = [c for i, c in enumerate(odd) if not i or odd[i - 1] != c - 1]
+    last = [c for i, c in enumerate(odd) if i + 1 == len(odd) or odd[i + 1] != c + 1]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(first, last))
+
+
+#: Runs of letters (category L).
+WORD = re.compile(rf"[^\W\d_{_other_numerals()}]+")
 START, END = b"\x01", b"\x02"
 
 
@@ -37,12 +49,12 @@ def contexts(words: Counter, order: int) -> Counter:
 class Trees:
     """Context trees of all languages: (context) to counts of next bytes, their sum and how many kinds."""
 
-    def __init__(self, rows: list, order: int):
-        self.order, self.languages = order, sorted({r[0] for r in rows})
-        self.nodes = [defaultdict(dict) for _ in self.languages]
-        place = {lang: i for i, lang in enumerate(self.languages)}
+    def __init__(self, rows: Iterable, order: int):
+        grown: dict = defaultdict(lambda: defaultdict(dict))
         for lang, context, byte, n in rows:
-            self.nodes[place[lang]][bytes(context)][byte] = n
+            grown[lang][bytes(context)][byte] = n
+        self.order, self.languages = order, sorted(grown)
+        self.nodes = [dict(grown[lang]) for lang in self.languages]
         self.sums = [{c: sum(d.values()) for c, d in tree.items()} for tree in self.nodes]
 
     def costs(self, gram: bytes) -> list[float]:
@@ -131,8 +143,7 @@ def train_languages(docs: DataFrame, sample: int = 1000, order: int = 4) -> Tree
             yield pa.RecordBatch.from_arrays(arrays, ["lang", "context", "byte", "n"])
 
     grown = rows.mapInArrow(read, "lang string, context binary, byte int, n long").groupBy("lang", "context", "byte").agg(F.sum("n").alias("n"))
-    kept = grown.where("length(context) < 3 or n > 1")  # a deep context met once says nothing that its shorter one does not
-    return Trees([tuple(r) for r in kept.collect()], order)
+    return Trees([tuple(r) for r in grown.toLocalIterator()], order)  # as many as a sample makes them
 
 
 def detect_language(docs: DataFrame, sample: int = 1000, order: int = 4) -> DataFrame:
