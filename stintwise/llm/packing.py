@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, staged, texts_of
+from .common import byte_column, small_batches, staged, texts_of
 
 # A chunk is a run of letters up to white space or a punctuation mark, or else all up to white space: no token spans two.
 LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
@@ -39,6 +39,11 @@ def byte_letters() -> dict[int, str]:
     return {c: "".join(sign[b] for b in chr(c).encode()) for c in range(192, 256)}
 
 
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places ``start`` to ``start + size - 1`` of every pair, end to end."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
 class Chunks(dict):
     """Chunk to code; the token ids of all codes lie end to end. Emptied when full.
 
@@ -50,10 +55,15 @@ class Chunks(dict):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.merges, self.letters = self.tokenizer.model, byte_letters()
+        self.plain = Tokenizer(self.merges)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary, suffix = self.tokenizer.get_vocab(), self.merges.end_of_word_suffix
+        self.closes = np.zeros(1 + max(vocabulary.values()), bool)  # ids that end a word
+        self.closes[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self._empty()
 
     def _empty(self) -> None:
@@ -69,10 +79,28 @@ class Chunks(dict):
         self[chunk] = code
         return code
 
-    def _encode(self, chunks: list[str]) -> list[list[int]]:
-        words = [WORD.fullmatch(c) is not None for c in chunks]
-        rest = iter(self.tokenizer.encode_batch([c for c, w in zip(chunks, words) if not w], add_special_tokens=False))
-        return [[t.id for t in self.merges.tokenize(c.translate(self.letters))] if w else next(rest).ids for c, w in zip(chunks, words)]
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of runs of letters end to end, and how many each has: some words to a call, told apart by the ids that end one."""
+        shown = [w if w.isascii() else w.translate(self.letters) for w in words]
+        lines = [" ".join(shown[i : i + 64]) for i in range(0, len(shown), 64)]
+        ids = np.fromiter(chain.from_iterable(e.ids for e in self.plain.encode_batch_fast(lines, add_special_tokens=False)), np.uint32)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) == len(words) and ends[-1:].sum() == len(ids):
+            return ids, np.diff(np.r_[0, ends])
+        single = [[t.id for t in self.merges.tokenize(w)] for w in shown]  # a vocabulary without such ids
+        return np.fromiter(chain.from_iterable(single), np.uint32), np.fromiter(map(len, single), np.int64, len(single))
+
+    def _encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks end to end, and how many each has."""
+        word = np.fromiter((WORD.fullmatch(c) is not None for c in chunks), bool, len(chunks))
+        ids, n = self._words([c for c, w in zip(chunks, word) if w])
+        rest = [e.ids for e in self.tokenizer.encode_batch_fast([c for c, w in zip(chunks, word) if not w], add_special_tokens=False)]
+        lengths = np.zeros(len(chunks), np.int64)
+        lengths[word], lengths[~word] = n, [len(r) for r in rest]
+        out, starts = np.zeros(int(lengths.sum()), np.uint32), np.cumsum(lengths) - lengths
+        out[ranges(starts[word], lengths[word])] = ids
+        out[ranges(starts[~word], lengths[~word])] = np.fromiter(chain.from_iterable(rest), np.uint32)
+        return out, lengths
 
     def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts end to end, and how many each has."""
@@ -82,15 +110,11 @@ class Chunks(dict):
         n = np.fromiter(map(len, docs), np.int64, len(docs))
         codes = np.fromiter(map(self.__getitem__, chain.from_iterable(docs)), np.int64, int(n.sum()))
         if self.new:
-            fresh = self._encode(self.new)
-            self.ids = np.r_[self.ids, np.fromiter(chain.from_iterable(fresh), np.uint32)]
-            self.lengths = np.r_[self.lengths, np.fromiter(map(len, fresh), np.int64, len(fresh))]
-            self.new = []
+            fresh, sizes = self._encode(self.new)
+            self.ids, self.lengths, self.new = np.r_[self.ids, fresh], np.r_[self.lengths, sizes], []
         starts, sizes = (np.cumsum(self.lengths) - self.lengths)[codes], self.lengths[codes]
-        ends = np.cumsum(sizes)
-        at = np.arange(int(sizes.sum())) + np.repeat(starts - (ends - sizes), sizes)
         lengths = np.add.reduceat(np.r_[sizes, 0], np.cumsum(n) - n) * (n > 0) if len(n) else n
-        return self.ids[at], lengths
+        return self.ids[ranges(starts, sizes)], lengths
 
 
 _chunks: dict[tuple, Chunks] = {}
@@ -223,11 +247,14 @@ def term_statistics(encoded: DataFrame) -> tuple[int, float, np.ndarray]:
     def run(batches):
         seen = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column("ids"):
-                own = np.unique(np.frombuffer(ids.as_buffer(), np.uint32))
-                if own[-1] >= len(seen):
-                    seen = np.r_[seen, np.zeros(int(own[-1]) + 1 - len(seen), np.int64)]
-                seen[own] += 1
+            raw, at = byte_column(batch.column("ids"))
+            ids, starts = np.frombuffer(raw.tobytes(), np.uint32), at // 4
+            found = np.zeros(int(ids.max(initial=0)) + 1, np.int64)
+            for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
+                found[np.unique(ids[a:b])] += 1
+            if len(found) > len(seen):
+                seen, found = found, seen
+            seen[: len(found)] += found
         term = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(seen[term])], ["term", "n"])
 
@@ -257,9 +284,16 @@ class Index:
         """BM25 of every document of the shard for the distinct terms of ``query``."""
         at = np.searchsorted(self.vocabulary, np.unique(query).astype(np.int64))
         first, size = self.first[at], (self.last - self.first)[at]
-        take = np.arange(int(size.sum())) + np.repeat(first - (np.cumsum(size) - size), size)
+        take = ranges(first, size)
         return np.bincount(self.doc[take], self.weight[take], self.n)
 
+    def narrow(self, stay: np.ndarray) -> None:
+        """Drop the postings of documents that are used up; the others keep order and weights and are numbered anew."""
+        take = stay[self.doc]
+        before = np.r_[0, np.cumsum(take)]
+        self.first, self.last = before[self.first], before[self.last]
+        self.doc, self.weight, self.n = (np.cumsum(stay) - 1)[self.doc[take]], self.weight[take], int(stay.sum())
+
 
 def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int) -> list[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of every piece of one shard."""
@@ -271,7 +305,7 @@ def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int
             pieces.append((i, start, window, sequence, 0))
             sequence += 1
     index = Index([d[b:] for d, b in zip(docs, begin)], idf, mean)
-    filled, seed = 0, 0
+    filled, seed, live = 0, 0, np.arange(len(docs))
 
     def take(i: int) -> None:
         nonlocal filled
@@ -287,7 +321,11 @@ def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int
             continue
         rest = docs[seed][begin[seed] :]
         take(seed)
-        for i in np.argsort(-index.scores(rest), kind="stable").tolist():
+        stay = left[live] > 0
+        if 4 * np.count_nonzero(stay) < 3 * len(live):
+            index.narrow(stay)
+            live = live[stay]
+        for i in live[np.argsort(-index.scores(rest), kind="stable")].tolist():
             if filled == window:
                 break
             if left[i]:
@@ -316,18 +354,20 @@ def powers_of_two(tail: list, filled: int, sequence: int) -> list:
     return out
 
 
-def pack_documents(docs: DataFrame, path: str, window: int = 2048, end: int = 1, shard_docs: int = 1000, sample: int = 4000) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, window: int = 2048, end: int = 1, shard_docs: int = 1000, shard_tokens: int = 2 << 20, sample: int = 4000) -> DataFrame:
     """Pieces of all documents: ``doc_id, start, length, doc_tokens, sequence_id, offset, ids``, ids packed as 32-bit.
 
     Null and empty texts are the end id alone. Each row is packed by itself, also where rows repeat or have no id. An
-    empty table gives no piece.
+    empty table gives no piece. A shard holds about ``shard_docs`` documents or ``shard_tokens`` ids, whichever is less;
+    a document counts for as many as its ids take the place of.
     """
     spark = docs.sparkSession
     encoded = staged(token_ids(docs, path, end, places(docs, path, sample)), "pack-ids")
     n, mean, seen = term_statistics(encoded)
     idf = np.log1p((n - seen + 0.5) / (seen + 0.5))
     shared = spark.sparkContext.broadcast((idf, mean))
-    sizes = encoded.groupBy("bucket").count().toArrow().sort_by("bucket")  # at most 2 ** (LEVELS + FINE) rows
+    share = F.greatest(F.lit(1), F.ceil(F.length("ids") / 4 * shard_docs / shard_tokens)).cast("long")
+    sizes = encoded.groupBy("bucket").agg(F.sum(share).alias("count")).toArrow().sort_by("bucket")  # at most 2 ** (LEVELS + FINE) rows
     first, parts = deal(sizes.column("count").to_numpy(), shard_docs)
     plan = pa.table({"place": sizes.column("bucket"), "first": pa.array(first, pa.int64()), "parts": pa.array(parts, pa.int64())})
     shards = F.broadcast(spark.createDataFrame(plan, "place long, first long, parts long"))
