@@ -127,9 +127,9 @@ def _encoder(path: str, cache: int) -> Chunks:
 
 
 def term_counts(ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, term and count of every distinct term of each document, in order of documents."""
-    pair, count = np.unique(np.repeat(np.arange(len(n)) * TERMS, n) + ids % TERMS, return_counts=True)
-    return pair // TERMS, pair % TERMS, count
+    """Document, id and count of every distinct id of each document, in order of documents."""
+    pair, count = np.unique((np.repeat(np.arange(len(n)), n) << 32) + ids, return_counts=True)
+    return pair >> 32, pair & 0xFFFFFFFF, count
 
 
 class Places:
@@ -173,18 +173,18 @@ class Places:
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k not in ("table", "draw")}  # made again from their seeds
 
-    def buckets(self, ids: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Bucket of each document, given all term ids end to end and how many each has."""
-        doc, term, count = term_counts(ids, n)
-        weight = self.weights(doc, term, count, len(n))
-        vectors, node = self.vectors(doc, weight, term, len(n)), np.ones(len(n), np.int64)
+    def buckets(self, doc: np.ndarray, term: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
+        """Bucket of each of ``n`` documents, given their terms and counts."""
+        term = term % TERMS
+        weight = self.weights(doc, term, count, n)
+        vectors, node = self.vectors(doc, weight, term, n), np.ones(n, np.int64)
         for _ in range(LEVELS):
             node = 2 * node + (np.einsum("ij,ij->i", vectors, self.direction[node]) > self.middle[node])
         if not hasattr(self, "draw"):
             self.draw = np.random.default_rng(13).exponential(size=TERMS)
         drawn = self.draw[term] / np.maximum(weight, 1e-9) ** 2
         own, first = np.unique(doc, return_index=True)
-        leading = np.zeros(len(n), np.int64)
+        leading = np.zeros(n, np.int64)
         if len(own):
             least = np.flatnonzero(drawn == np.repeat(np.minimum.reduceat(drawn, first), np.diff(np.r_[first, len(doc)])))
             leading[doc[least[::-1]]] = term[least[::-1]]
@@ -199,6 +199,7 @@ def places(docs: DataFrame, path: str, sample: int, cache: int = 300_000) -> Pla
         for batch in small_batches(batches, "text", 2 << 20):
             ids, n = _encoder(path, cache).encoded(texts_of(batch))
             doc, term, count = term_counts(ids, n)
+            term %= TERMS
             cuts = np.searchsorted(doc, np.arange(1, len(n)))
             own = [pa.array([c.astype("<i4").tobytes() for c in np.split(x, cuts)], pa.binary()) for x in (term, count)]
             yield pa.RecordBatch.from_arrays([batch.column("row"), *own], ["row", "terms", "counts"])
@@ -212,19 +213,31 @@ def places(docs: DataFrame, path: str, sample: int, cache: int = 300_000) -> Pla
 
 
 def token_ids(docs: DataFrame, path: str, end: int, learnt: Places, cache: int = 300_000) -> DataFrame:
-    """``doc_id, row, bucket, ids`` (packed unsigned 32-bit, the end id last) for every row; null is the empty text."""
+    """``doc_id, row, bucket, n, ids`` for every row: ``n`` ids, packed unsigned 32-bit, the end id last; null is the empty text.
+
+    Each task adds a row without these that holds ``seen``: in how many of its documents each id of the vocabulary occurs.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(learnt)
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "row", "bucket", "n")] + [(c, pa.binary()) for c in ("ids", "seen")])
 
     def run(batches):
+        seen = np.zeros(end + 1, np.int64)
         for batch in small_batches(batches, "text", 2 << 20):
             ids, n = _encoder(path, cache).encoded(texts_of(batch))
-            cuts = np.split(ids, np.cumsum(n)[:-1])
-            own = pa.array([np.append(c, end).astype("<u4").tobytes() for c in cuts], pa.binary())
-            bucket = pa.array(shared.value.buckets(ids, n), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), bucket, own], ["doc_id", "row", "bucket", "ids"])
+            found = term_counts(ids, n)
+            here = np.bincount(found[1], minlength=len(seen))
+            here[end] = len(n)
+            here[: len(seen)] += seen
+            seen = here
+            own = pa.array([np.append(c, end).astype("<u4").tobytes() for c in np.split(ids, np.cumsum(n)[:-1])], pa.binary())
+            bucket = pa.array(shared.value.buckets(*found, len(n)), pa.int64())
+            columns = [batch.column("doc_id"), batch.column("row"), bucket, pa.array(n + 1, pa.int64()), own, pa.nulls(len(n), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        if seen.any():
+            yield pa.RecordBatch.from_pylist([{"seen": seen.astype("<i8").tobytes()}], schema)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, row long, bucket long, ids binary")
+    return rows.mapInArrow(run, "doc_id long, row long, bucket long, n long, ids binary, seen binary")
 
 
 def deal(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -245,21 +258,15 @@ def term_statistics(encoded: DataFrame) -> tuple[int, float, np.ndarray]:
     """Documents, mean length, and the number of documents each id of the vocabulary occurs in."""
 
     def run(batches):
-        seen = np.zeros(0, np.int64)
         for batch in batches:
-            raw, at = byte_column(batch.column("ids"))
-            ids, starts = np.frombuffer(raw.tobytes(), np.uint32), at // 4
-            found = np.zeros(int(ids.max(initial=0)) + 1, np.int64)
-            for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
-                found[np.unique(ids[a:b])] += 1
-            if len(found) > len(seen):
-                seen, found = found, seen
-            seen[: len(found)] += found
-        term = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(seen[term])], ["term", "n"])
-
-    counts = encoded.select("ids").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # a row an id of the vocabulary
-    total = encoded.agg(F.count("*").alias("n"), F.sum(F.length("ids") / 4).alias("tokens")).first()
+            for own in batch.column("seen"):
+                seen = np.frombuffer(own.as_buffer(), "<i8")
+                term = np.flatnonzero(seen)
+                yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(seen[term])], ["term", "n"])
+
+    seen = encoded.where("seen is not null").select("seen").mapInArrow(run, "term long, n long")
+    counts = seen.groupBy("term").agg(F.sum("n").alias("n")).collect()  # a row an id of the vocabulary
+    total = encoded.agg(F.count("row").alias("n"), F.sum("n").alias("tokens")).first()
     found = np.zeros(1 + max((r["term"] for r in counts), default=0), np.int64)
     for r in counts:
         found[r["term"]] = r["n"]
@@ -366,8 +373,9 @@ def pack_documents(docs: DataFrame, path: str, window: int = 2048, end: int = 1,
     n, mean, seen = term_statistics(encoded)
     idf = np.log1p((n - seen + 0.5) / (seen + 0.5))
     shared = spark.sparkContext.broadcast((idf, mean))
-    share = F.greatest(F.lit(1), F.ceil(F.length("ids") / 4 * shard_docs / shard_tokens)).cast("long")
-    sizes = encoded.groupBy("bucket").agg(F.sum(share).alias("count")).toArrow().sort_by("bucket")  # at most 2 ** (LEVELS + FINE) rows
+    share = F.greatest(F.lit(1), F.ceil(F.col("n") * shard_docs / shard_tokens)).cast("long")
+    rows = encoded.where("row is not null")
+    sizes = rows.groupBy("bucket").agg(F.sum(share).alias("count")).toArrow().sort_by("bucket")  # at most 2 ** (LEVELS + FINE) rows
     first, parts = deal(sizes.column("count").to_numpy(), shard_docs)
     plan = pa.table({"place": sizes.column("bucket"), "first": pa.array(first, pa.int64()), "parts": pa.array(parts, pa.int64())})
     shards = F.broadcast(spark.createDataFrame(plan, "place long, first long, parts long"))
@@ -387,5 +395,5 @@ def pack_documents(docs: DataFrame, path: str, window: int = 2048, end: int = 1,
         ]
         return pa.Table.from_arrays(columns, ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
-    dealt = encoded.join(shards, F.col("bucket") == F.col("place")).select("doc_id", "row", "ids", (F.col("first") + F.pmod(F.xxhash64("row"), "parts")).alias("shard"))
+    dealt = rows.join(shards, F.col("bucket") == F.col("place")).select("doc_id", "row", "ids", (F.col("first") + F.pmod(F.xxhash64("row"), "parts")).alias("shard"))
     return dealt.groupBy("shard").applyInArrow(pack, PIECES)
