@@ -379,3 +379,44 @@ def test_exact_dedup_of_rows_from_a_shuffle(spark, docs):
     found = exact_dedup(shuffled).collect()
     groups = Counter(r.text_sha256 for r in found)
     assert Counter(r.text_sha256 for r in found if r.kept) == {sha: 1 for sha in groups}
+
+
+def test_packing_statistics_and_greedy_order_against_a_plain_loop(docs):
+    learnt = packing.places(docs, WORDS, 100)
+    encoded = packing.token_ids(docs, WORDS, 1, learnt).cache()
+    n, mean, seen = packing.term_statistics(encoded)
+    held = [np.frombuffer(r["ids"], np.uint32) for r in encoded.where("row is not null").orderBy("row").collect()]
+    assert n == len(held) == docs.count() and abs(mean - sum(map(len, held)) / n) < 1e-9
+    for term in range(len(seen)):
+        assert seen[term] == sum(term in set(h.tolist()) for h in held) if seen[term] else True
+    assert {t for h in held for t in h.tolist()} == set(np.flatnonzero(seen).tolist())
+    idf, window = np.log1p((n - seen + 0.5) / (seen + 0.5)), 48
+    left = [len(h) % window for h in held]
+    body = [h[len(h) - k :].tolist() for h, k in zip(held, left)]
+
+    def score(query, d):
+        total = 0.0
+        for t in sorted(set(query)):
+            tf = body[d].count(t)
+            total += idf[t] * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(body[d]) / max(mean, 1.0))) if tf else 0.0
+        return total
+
+    want, rest = [], list(left)
+    while any(rest):
+        seed = next(i for i, k in enumerate(rest) if k)
+        query, room, members = body[seed][len(body[seed]) - rest[seed] :], window, []
+        ranked = sorted(range(len(body)), key=lambda d: -round(score(query, d), 9))
+        for i in [seed, *ranked]:
+            k = min(rest[i], room)
+            if k:
+                members.append((i, k))
+                rest[i] -= k
+                room -= k
+        if room:
+            break
+        want.append(members)
+    found = {}
+    for i, _, length, sequence, _ in packing.pack_shard(held, idf, mean, window):
+        found.setdefault(sequence, []).append((i, length))
+    full = sum(len(h) // window for h in held)
+    assert [found[full + k] for k in range(len(want))] == want
