@@ -1,19 +1,21 @@
 """Gradient-boosted regression trees in which missing numbers have a side of their own choosing.
 
-Inputs are cut at quantiles once. A level of a tree is one aggregate over all rows, sums of gradients by (node, input,
-bin), which combine map-side and whose size does not depend on the rows; the best cut of every node is read off them,
-trying the missing rows on either side of each. Squared loss, a ridge on leaf values, and gains as sums of squares won.
+Inputs are cut at quantiles once and the rows packed into blocks of bin numbers and gradients. A level of a tree is one job over all
+blocks, sums of gradients by (node, input, bin), added up per task and then over the tasks; their size does not depend on the rows. The best cut of
+every node is read off them, trying the missing rows on either side of each. Squared loss, a ridge on leaf values, and gains as sums of squares won.
 
-Trees are rows of a table. Rows are scored by column expressions that walk the nodes, held as literal arrays.
+Trees are rows of a table. Rows are scored by one column expression, a tree in it being nested conditions.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +23,15 @@ from ..session import shared_dir, written
 
 NODES = "tree int, node int, feature string, threshold double, missing_left boolean, gain double, rows long, value double"
 LEAST_GAIN = 1e-6
-#: Trees between two tables of margins, so that plans stay short.
+#: Trees between two tables of margins, so that a lost block is made again from few trees.
 STRETCH = 12
-ROWS_A_TASK = 1_000_000
+ROWS_A_BLOCK = 65_536
+#: Tasks of a level whose sums the driver adds up by itself; more are added up in a tree.
+FEW_TASKS = 64
+BLOCK = "rows long, bins binary, g binary"
+
+Tree = tuple[list[int], list[int], list[int], list[float]]
+Block = tuple[np.ndarray, np.ndarray]
 
 
 @dataclass
@@ -49,42 +57,36 @@ class Forest:
 
     def prediction(self) -> Column:
         """The score of a row with the input columns; null and NaN are missing."""
-        trees = 1 + max((n[0] for n in self.nodes), default=-1)
-        width = 1 + max((n[1] for n in self.nodes), default=0)
-        if not trees:
+        if not self.nodes:
             return F.lit(self.base)
-        feature, cut, side, value = [-1] * (trees * width), [0.0] * (trees * width), [0] * (trees * width), [0.0] * (trees * width)
-        for tree, node, name, threshold, missing_left, _, _, leaf in self.nodes:
-            at = tree * width + node
+        at = {(n[0], n[1]): n for n in self.nodes}
+
+        def chosen(tree: int, node: int) -> str:
+            _, _, name, threshold, missing_left, _, _, leaf = at[tree, node]
             if name is None:
-                value[at] = leaf
-            else:
-                feature[at], cut[at], side[at] = self.features.index(name), threshold, int(not missing_left)
-        inputs = ", ".join(f"nullif(double(`{c}`), double('NaN'))" for c in self.features)
-        steps = int(math.log2(width + 1)) - 1
-        leaf = _walk(f"array({inputs})", _array(feature), _array(cut, "double"), _array(side), steps, f"t * {width} + ")
-        scored = f"aggregate(sequence(0, {trees - 1}), double({self.base!r}), (sum, t) -> sum + get({_array(value, 'double')}, t * {width} + {leaf}))"
-        return F.expr(scored)
+                return _double(leaf)
+            left, right = chosen(tree, 2 * node + 1), chosen(tree, 2 * node + 2)
+            # A comparison with a missing input is no hit, so it takes what stands last.
+            own, cut = f"x.f{self.features.index(name)}", _double(threshold)
+            return f"if({own} > {cut}, {right}, {left})" if missing_left else f"if({own} <= {cut}, {left}, {right})"
 
+        inputs = ", ".join(f"'f{i}', nullif(double(`{c}`), double('NaN'))" for i, c in enumerate(self.features))
+        scores = ", ".join(chosen(tree, 0) for tree in sorted({n[0] for n in self.nodes}))
+        # The inputs are read once a row, under one name.
+        return F.expr(f"get(transform(array(named_struct({inputs})), x -> aggregate(array({scores}), {_double(self.base)}, (sum, t) -> sum + t)), 0)")
 
-def _array(values: Sequence, kind: str = "int") -> str:
-    text = ", ".join(f"double('{float(v)!r}')" if kind == "double" else str(int(v)) for v in values)
-    return f"array({text})"
 
+def _double(value: float) -> str:
+    return f"double('{float(value)!r}')"
 
-def _walk(inputs: str, feature: str, cut: str, side: str, steps: int, start: str = "") -> str:
-    """SQL of the node that a row reaches in ``steps``; a missing input takes the node's side."""
-    if not steps:
-        return "0"
-    at = f"{start}n"
-    own = f"get({inputs}, get({feature}, {at}))"
-    turn = f"coalesce(int({own} > get({cut}, {at})), get({side}, {at}))"
-    return f"aggregate(sequence(1, {steps}), 0, (n, i) -> if(get({feature}, {at}) < 0, n, 2 * n + 1 + {turn}))"
+
+def _array(values: Sequence[float]) -> str:
+    return f"array({', '.join(map(_double, values))})"
 
 
 def quantile_cuts(rows: DataFrame, features: Sequence[str], target: str, bins: int, accuracy: int) -> tuple[list[list[float]], float, int]:
     """(distinct cuts of each input up to its largest value, mean of the target, rows), in one pass of sketches."""
-    shares = _array([i / bins for i in range(1, bins + 1)], "double")
+    shares = _array([i / bins for i in range(1, bins + 1)])
     found = rows.agg(
         *[F.expr(f"percentile_approx(nullif(double(`{c}`), double('NaN')), {shares}, {accuracy}) AS c{i}") for i, c in enumerate(features)],
         F.avg(target).alias("base"), F.count(target).alias("rows"),
@@ -92,13 +94,47 @@ def quantile_cuts(rows: DataFrame, features: Sequence[str], target: str, bins: i
     return [sorted(set(found[f"c{i}"] or [])) for i in range(len(features))], found["base"] or 0.0, found["rows"]
 
 
-def _binned(column: str, cuts: list[float]) -> str:
-    """SQL of the number of cuts below a value, by halving; null for a missing one."""
-    depth = max(1, len(cuts).bit_length())
-    padded = _array([*cuts, *[math.inf] * (2**depth - 1 - len(cuts))], "double")
-    number = f"nullif(double(`{column}`), double('NaN'))"
-    halves = f"array({', '.join(str(2**k) for k in reversed(range(depth)))})"
-    return f"if({number} is null, null, aggregate({halves}, 0, (n, h) -> if(get({padded}, n + h - 1) < {number}, n + h, n)))"
+def _packed(features: Sequence[str], cuts: list[list[float]], base: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (features, target) to blocks: a bin is 0 for a missing number, else one more than the cuts below it."""
+
+    def numbers(column: pa.Array) -> np.ndarray:
+        return column.cast(pa.float64()).fill_null(math.nan).to_numpy(zero_copy_only=False)
+
+    def block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        bins = np.empty((len(features), table.num_rows), _bin_type(cuts))
+        for i, own in enumerate(cuts):
+            x = numbers(table.column(i).combine_chunks())
+            bins[i] = np.where(np.isnan(x), 0, 1 + np.searchsorted(np.array(own), x))
+        g = base - numbers(table.column(len(features)).combine_chunks())
+        return pa.RecordBatch.from_pydict({"rows": [table.num_rows], "bins": [bins.tobytes()], "g": [g.tobytes()]})
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(x.num_rows for x in held) >= ROWS_A_BLOCK:
+                yield block(held)
+                held = []
+        if held:
+            yield block(held)
+
+    return pack
+
+
+def _bin_type(cuts: list[list[float]]) -> np.dtype:
+    return np.min_scalar_type(1 + max(map(len, cuts)))
+
+
+def _blocks(table: DataFrame, cuts: list[list[float]]) -> RDD:
+    """(bins, g) of each block; the bins of an input lie together."""
+    kind = _bin_type(cuts)
+
+    def block(row) -> Block:
+        return np.frombuffer(row["bins"], kind).reshape(-1, row["rows"]), np.frombuffer(row["g"], np.float64)
+
+    return table.rdd.map(block)
 
 
 def fit_forest(
@@ -115,66 +151,106 @@ def fit_forest(
 ) -> Forest:
     """Trees fitted to the rows with a known target; all inputs must be numbers.
 
-    Ties between cuts go to the first input, then the lower cut, then missing rows to the left. One job per level; each brings at
-    most nodes x inputs x bins sums to the driver, whatever the number of rows.
+    Ties between cuts go to the first input, then the lower cut, then missing rows to the left. One job per level; each task brings at
+    most nodes x inputs x bins sums, whatever the number of rows.
     """
     known = rows.where(F.col(target).isNotNull() & ~F.isnan(F.col(target).cast("double")))
     cuts, base, n = quantile_cuts(known, features, target, bins, accuracy)
     forest = Forest(list(features), float(base), [])
     if not n:
         return forest
-    coded = ", ".join(_binned(c, own) for c, own in zip(features, cuts))
-    state = known.select(F.expr(f"array({coded})").alias("bins"), (F.lit(base) - F.col(target).cast("double")).alias("g"))
-    # Rows are 40 bytes here; partitions of some million of them, dealt evenly, serve every level.
-    state = _kept(state.repartition(math.ceil(n / ROWS_A_TASK)), _planned_once(rows.sparkSession, n))
-    held: list[DataFrame] = []
+    numbers = known.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate((*features, target))])
+    table = _kept(numbers.mapInArrow(_packed(features, cuts, forest.base), BLOCK))
+    state, since = _blocks(table, cuts).persist(StorageLevel.MEMORY_AND_DISK), []
     for tree in range(trees):
-        grown, leaf = _grow(state, forest, tree, cuts, depth, rate, ridge, least_rows)
-        while len(held) > 1:
-            held.pop(0).unpersist()
+        grown, done = _grow(state, forest, tree, cuts, depth, rate, ridge, least_rows)
         if not grown:
             break
-        moved = state.selectExpr("bins", f"g + {leaf} AS g")
-        if tree + 1 < trees:
-            state = _kept(moved) if (tree + 1) % STRETCH == 0 else moved.persist()
-            held.append(state)
-    for df in held:
-        df.unpersist()
+        since.append(done)
+        if (tree + 1) % STRETCH == 0 and tree + 1 < trees:
+            moved, since = _kept(_moved(table, cuts, since)), []
+            table.unpersist()
+            table = moved
+        state.unpersist()
+        state = _stepped(_blocks(table, cuts), list(since)).persist(StorageLevel.MEMORY_AND_DISK)
+    state.unpersist()
+    table.unpersist()
     return forest
 
 
-def _planned_once(spark: SparkSession, rows: int) -> SparkSession:
-    """A sibling session for the levels: a level's sums are of one size, known before, so there is nothing to adapt at run time."""
-    own = spark.newSession()
-    own.conf.set("spark.sql.adaptive.enabled", "false")
-    own.conf.set("spark.sql.shuffle.partitions", str(max(1, min(200, rows // ROWS_A_TASK))))
-    return own
+def _kept(blocks: DataFrame) -> DataFrame:
+    """Written and read again; without a folder to write to, held in memory and on disk."""
+    return written(blocks, "boosting") if shared_dir(blocks.sparkSession) else blocks.persist()
+
+
+def _leaves(bins: np.ndarray, tree: Tree, steps: int) -> np.ndarray:
+    """The node that each row of a block reaches in ``steps``."""
+    feature, cut, side = (np.array(x) for x in tree[:3])
+    node, rows = np.zeros(bins.shape[1], np.int64), np.arange(bins.shape[1])
+    for _ in range(steps):
+        own = bins[feature[node], rows].astype(np.int64)
+        right = np.where(own == 0, side[node], own - 1 > cut[node])
+        node = np.where(feature[node] < 0, node, 2 * node + 1 + right)
+    return node
+
+
+def _after(block: Block, trees: list[Tree]) -> Block:
+    """A block with the leaf values of ``trees`` added to its gradients, one tree after the other."""
+    bins, g = block
+    for tree in trees:
+        g = g + np.array(tree[3])[_leaves(bins, tree, int(math.log2(len(tree[0]) + 1)) - 1)]
+    return bins, g
+
+
+def _stepped(blocks: RDD, trees: list[Tree]) -> RDD:
+    return blocks.map(lambda block: _after(block, trees))
+
+
+def _moved(table: DataFrame, cuts: list[list[float]], trees: list[Tree]) -> DataFrame:
+    """The blocks of ``table`` with the gradients after ``trees``."""
+    kind = _bin_type(cuts)
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                _, g = _after((np.frombuffer(row["bins"], kind).reshape(-1, row["rows"]), np.frombuffer(row["g"], np.float64)), trees)
+                yield pa.RecordBatch.from_pydict({"rows": [row["rows"]], "bins": [row["bins"]], "g": [g.tobytes()]})
+
+    return table.mapInArrow(move, BLOCK)
+
+
+def _sums(state: RDD, tree: Tree, level: int, inputs: int, width: int) -> np.ndarray:
+    """(sum of gradients and rows) by node of a level, input and bin; zeros where no row comes to."""
+    first, nodes = 2**level - 1, 2**level
 
+    def add(blocks: Iterator[Block]) -> Iterator[np.ndarray]:
+        held = np.zeros((2, inputs, nodes * width))
+        for bins, g in blocks:
+            place = (_leaves(bins, tree, level) - first) * width
+            own = np.flatnonzero(place >= 0)  # the others have come to a leaf above
+            place, g = place[own], g[own]
+            for f in range(inputs):
+                at = place + bins[f][own]
+                held[0, f] += np.bincount(at, g, nodes * width)
+                held[1, f] += np.bincount(at, minlength=nodes * width)
+        yield held
 
-def _kept(state: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """Written and read again, by ``spark`` if given; without a folder to write to, held in memory and on disk."""
-    if not shared_dir(state.sparkSession):
-        return state.persist()
-    table = written(state, "boosting")
-    return spark.read.schema(table.schema).parquet(*table.inputFiles()) if spark else table
+    found = state.mapPartitions(add)
+    whole = sum(found.collect()) if found.getNumPartitions() <= FEW_TASKS else found.treeReduce(np.add)
+    return whole.reshape(2, inputs, nodes, width)
 
 
-def _grow(state: DataFrame, forest: Forest, tree: int, cuts, depth, rate, ridge, least_rows) -> tuple[bool, str]:
-    """Adds one tree to the forest; (whether it has a cut, SQL of a row's leaf value)."""
+def _grow(state: RDD, forest: Forest, tree: int, cuts, depth, rate, ridge, least_rows) -> tuple[bool, Tree]:
+    """Adds one tree to the forest; (whether it has a cut, the tree over bins with its leaf values)."""
     width = 2 ** (depth + 1) - 1
-    feature, cut, side, value = [-1] * width, [0] * width, [0] * width, [0.0] * width
+    feature, cut, side, value = done = [-1] * width, [0] * width, [0] * width, [0.0] * width
     sums: dict[int, tuple[float, float]] = {}
     open_nodes = [0]
     for level in range(depth):
-        node = _walk("bins", _array(feature), _array(cut), _array(side), level)
-        # The node goes through the explode, so that a row walks the tree once and not for each of its inputs.
-        placed = state.selectExpr("bins", "g", f"{node} AS node").selectExpr("posexplode(transform(bins, b -> struct(node, ifnull(b, -1)))) AS (f, at)", "g")
-        found = placed.groupBy("at", "f").agg(F.expr("sum(g) AS g"), F.expr("count(1) AS n")).selectExpr("at.node", "f", "at.col2", "g", "n").collect()
-        columns = dict(zip(("node", "f", "bin", "g", "n"), map(np.array, zip(*found))))
+        found = _sums(state, done, level, len(cuts), max(2, *map(len, cuts)) + 2)
         following = []
         for at in open_nodes:
-            own = columns["node"] == at
-            best = _best_cut(*[columns[c][own] for c in ("f", "bin", "g", "n")], [len(c) for c in cuts], ridge, least_rows)
+            best = _best_cut(*found[:, :, at - 2**level + 1], [len(c) for c in cuts], ridge, least_rows)
             sums[at] = best[0]
             if best[1] is None:
                 continue
@@ -190,22 +266,18 @@ def _grow(state: DataFrame, forest: Forest, tree: int, cuts, depth, rate, ridge,
         if feature[at] < 0:
             value[at] = -rate * g / (n + ridge)
             forest.nodes.append((tree, at, None, None, None, None, int(n), value[at]))
-    walked = _walk("bins", _array(feature), _array(cut), _array(side), depth)
-    return feature[0] >= 0, f"get({_array(value, 'double')}, {walked})"
+    return feature[0] >= 0, done
 
 
-def _best_cut(f, b, g, n, sizes: list[int], ridge: float, least: int):
-    """((sum, rows) of the node, (input, bin, missing left, gain, left sums, right sums) or None)."""
-    shape = (len(sizes), max(2, max(sizes) + 1))
-    held_g, held_n = np.zeros(shape), np.zeros(shape)
-    held_g[f, b + 1], held_n[f, b + 1] = g, n  # place 0: missing
+def _best_cut(held_g: np.ndarray, held_n: np.ndarray, sizes: list[int], ridge: float, least: int):
+    """((sum, rows) of the node, (input, bin, missing left, gain, left sums, right sums) or None); sums by input and bin, missing rows first."""
     whole_g, whole_n = float(held_g[0].sum()), float(held_n[0].sum())
     left_g, left_n = np.cumsum(held_g[:, 1:], axis=1)[..., None], np.cumsum(held_n[:, 1:], axis=1)[..., None]
     one = np.array([1.0, 0.0])  # missing rows left, then right
     left_g, left_n = left_g + held_g[:, :1, None] * one, left_n + held_n[:, :1, None] * one
     right_g, right_n = whole_g - left_g, whole_n - left_n
     gain = left_g**2 / (left_n + ridge) + right_g**2 / (right_n + ridge) - whole_g**2 / (whole_n + ridge)
-    valid = (left_n >= least) & (right_n >= least) & (np.arange(shape[1] - 1)[None, :, None] < np.array(sizes)[:, None, None])
+    valid = (left_n >= least) & (right_n >= least) & (np.arange(held_n.shape[1] - 1)[None, :, None] < np.array(sizes)[:, None, None])
     gain = np.where(valid, gain, -np.inf)
     i, j, k = np.unravel_index(int(gain.argmax()), gain.shape)
     if not gain[i, j, k] > LEAST_GAIN:

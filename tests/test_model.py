@@ -168,3 +168,31 @@ def test_forests_of_nothing_and_of_constants(spark, gapped):
     assert [r.importance for r in boosting.importances(flat.table(spark), ["a"]).collect()] == [0.0]
     nulls = boosting.fit_forest(gapped.withColumn("a", F.lit(None).cast("double")), ["a", "b"], "y", trees=2, rate=0.1, depth=2)
     assert {n[2] for n in nulls.nodes} <= {"b", None}
+
+
+def test_a_level_is_spread_over_tasks(spark):
+    """A quarter of a million rows are too many for one task at each of hundreds of levels."""
+    df = spark.range(0, 250_000, 1, 8).selectExpr("double(id % 1000) AS x", "double(id % 7) AS z", "double(id % 1000 > 500) + id % 7 AS y")
+    sc = spark.sparkContext
+    sc.setJobGroup("levels", "levels")
+    forest = boosting.fit_forest(df, ["x", "z"], "y", trees=2, rate=0.5, depth=2)
+    last = sc.statusTracker().getJobInfo(max(sc.statusTracker().getJobIdsForGroup("levels")))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert max(sc.statusTracker().getStageInfo(i).numTasks for i in last.stageIds) > 1
+    assert [n[6] for n in forest.nodes if n[1] == 0] == [250_000, 250_000]
+
+
+def test_blocks_and_stretches_do_not_show(spark, gapped, monkeypatch):
+    """Many small blocks, gradients written anew after every second tree: the same trees as with one block and none."""
+    plain = boosting.fit_forest(gapped, ["a", "b", "c"], "y", trees=5, rate=0.3, depth=3).nodes
+    monkeypatch.setattr(boosting, "STRETCH", 2)
+    monkeypatch.setattr(boosting, "ROWS_A_BLOCK", 16)
+    again = boosting.fit_forest(gapped.repartition(3), ["a", "b", "c"], "y", trees=5, rate=0.3, depth=3).nodes
+    assert [(*n[:5], n[6]) for n in plain] == [(*n[:5], n[6]) for n in again]
+    assert [n[7] or 0.0 for n in plain] == pytest.approx([n[7] or 0.0 for n in again])
+
+
+def test_a_row_reads_its_inputs_once_for_all_trees(gapped):
+    forest = boosting.fit_forest(gapped, ["a", "b"], "y", trees=3, rate=0.3, depth=2)
+    text = gapped.select(forest.prediction())._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("= NaN") == 2
