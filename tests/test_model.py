@@ -195,4 +195,4 @@ def test_blocks_and_stretches_do_not_show(spark, gapped, monkeypatch):
 def test_a_row_reads_its_inputs_once_for_all_trees(gapped):
     forest = boosting.fit_forest(gapped, ["a", "b"], "y", trees=3, rate=0.3, depth=2)
     text = gapped.select(forest.prediction())._jdf.queryExecution().optimizedPlan().toString()
-    assert text.count("= NaN") == 2
+    assert text.count("= NaN") == 2 and text.rindex("= NaN") < text.index("lambdafunction")
