@@ -161,18 +161,23 @@ def fit_forest(
         return forest
     numbers = known.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate((*features, target))])
     table = _kept(numbers.mapInArrow(_packed(features, cuts, forest.base), BLOCK))
-    state, since = _blocks(table, cuts).persist(StorageLevel.MEMORY_AND_DISK), []
+    state, before, since = _blocks(table, cuts).persist(StorageLevel.MEMORY_AND_DISK), None, []
     for tree in range(trees):
         grown, done = _grow(state, forest, tree, cuts, depth, rate, ridge, least_rows)
-        if not grown:
+        if before:  # held until the blocks after it are
+            before.unpersist()
+        before = state
+        if not grown or tree + 1 == trees:
             break
         since.append(done)
-        if (tree + 1) % STRETCH == 0 and tree + 1 < trees:
+        if (tree + 1) % STRETCH:
+            state = _stepped(state, done)
+        else:
             moved, since = _kept(_moved(table, cuts, since)), []
             table.unpersist()
             table = moved
-        state.unpersist()
-        state = _stepped(_blocks(table, cuts), list(since)).persist(StorageLevel.MEMORY_AND_DISK)
+            state = _blocks(table, cuts)
+        state.persist(StorageLevel.MEMORY_AND_DISK)
     state.unpersist()
     table.unpersist()
     return forest
@@ -202,8 +207,8 @@ def _after(block: Block, trees: list[Tree]) -> Block:
     return bins, g
 
 
-def _stepped(blocks: RDD, trees: list[Tree]) -> RDD:
-    return blocks.map(lambda block: _after(block, trees))
+def _stepped(blocks: RDD, tree: Tree) -> RDD:
+    return blocks.map(lambda block: _after(block, [tree]))
 
 
 def _moved(table: DataFrame, cuts: list[list[float]], trees: list[Tree]) -> DataFrame:
@@ -219,25 +224,32 @@ def _moved(table: DataFrame, cuts: list[list[float]], trees: list[Tree]) -> Data
     return table.mapInArrow(move, BLOCK)
 
 
-def _sums(state: RDD, tree: Tree, level: int, inputs: int, width: int) -> np.ndarray:
-    """(sum of gradients and rows) by node of a level, input and bin; zeros where no row comes to."""
+def _sums(state: RDD, tree: Tree, level: int, sizes: list[int]) -> np.ndarray:
+    """(sum of gradients and rows) by input, node of a level and bin; zeros where no row comes to.
+
+    A task brings as many sums of an input as it has bins; they are laid out evenly here.
+    """
     first, nodes = 2**level - 1, 2**level
+    ends = np.cumsum([0] + [nodes * (n + 2) for n in sizes])
 
     def add(blocks: Iterator[Block]) -> Iterator[np.ndarray]:
-        held = np.zeros((2, inputs, nodes * width))
+        held = np.zeros((2, ends[-1]))
         for bins, g in blocks:
-            place = (_leaves(bins, tree, level) - first) * width
-            own = np.flatnonzero(place >= 0)  # the others have come to a leaf above
-            place, g = place[own], g[own]
-            for f in range(inputs):
-                at = place + bins[f][own]
-                held[0, f] += np.bincount(at, g, nodes * width)
-                held[1, f] += np.bincount(at, minlength=nodes * width)
+            node = _leaves(bins, tree, level) - first
+            own = np.flatnonzero(node >= 0)  # the others have come to a leaf above
+            node, g = node[own], g[own]
+            for f, n in enumerate(sizes):
+                at, whole = node * (n + 2) + bins[f][own], nodes * (n + 2)
+                held[0, ends[f] : ends[f + 1]] += np.bincount(at, g, whole)
+                held[1, ends[f] : ends[f + 1]] += np.bincount(at, minlength=whole)
         yield held
 
     found = state.mapPartitions(add)
     whole = sum(found.collect()) if found.getNumPartitions() <= FEW_TASKS else found.treeReduce(np.add)
-    return whole.reshape(2, inputs, nodes, width)
+    even = np.zeros((2, len(sizes), nodes, max(2, *sizes) + 2))
+    for f, n in enumerate(sizes):
+        even[:, f, :, : n + 2] = whole[:, ends[f] : ends[f + 1]].reshape(2, nodes, n + 2)
+    return even
 
 
 def _grow(state: RDD, forest: Forest, tree: int, cuts, depth, rate, ridge, least_rows) -> tuple[bool, Tree]:
@@ -245,12 +257,12 @@ def _grow(state: RDD, forest: Forest, tree: int, cuts, depth, rate, ridge, least
     width = 2 ** (depth + 1) - 1
     feature, cut, side, value = done = [-1] * width, [0] * width, [0] * width, [0.0] * width
     sums: dict[int, tuple[float, float]] = {}
-    open_nodes = [0]
+    open_nodes, sizes = [0], [len(c) for c in cuts]
     for level in range(depth):
-        found = _sums(state, done, level, len(cuts), max(2, *map(len, cuts)) + 2)
+        found = _sums(state, done, level, sizes)
         following = []
         for at in open_nodes:
-            best = _best_cut(*found[:, :, at - 2**level + 1], [len(c) for c in cuts], ridge, least_rows)
+            best = _best_cut(*found[:, :, at - 2**level + 1], sizes, ridge, least_rows)
             sums[at] = best[0]
             if best[1] is None:
                 continue

@@ -196,3 +196,17 @@ def test_a_row_reads_its_inputs_once_for_all_trees(gapped):
     forest = boosting.fit_forest(gapped, ["a", "b"], "y", trees=3, rate=0.3, depth=2)
     text = gapped.select(forest.prediction())._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("= NaN") == 2 and text.rindex("= NaN") < text.index("lambdafunction")
+
+
+def test_a_tree_goes_on_from_the_held_blocks_of_the_one_before(gapped, monkeypatch):
+    """Five trees read the packed table once, and a tree moves the rows by one tree only."""
+    read, stepped, blocks, after = [], [], boosting._blocks, boosting._stepped
+    monkeypatch.setattr(boosting, "_blocks", lambda *a: read.append(1) or blocks(*a))
+    monkeypatch.setattr(boosting, "_stepped", lambda state, tree: stepped.append(isinstance(tree, tuple)) or after(state, tree))
+    forest = boosting.fit_forest(gapped, ["a", "b", "c"], "y", trees=5, rate=0.3, depth=3)
+    assert (len(read), stepped) == (1, [True] * 4) and max(n[0] for n in forest.nodes) == 4
+    assert boosting._sums(blocks_of(gapped.sparkSession), ([-1], [0], [0], [0.0]), 0, [1, 9]).shape == (2, 2, 1, 11)
+
+
+def blocks_of(spark):
+    return spark.sparkContext.parallelize([(np.array([[0, 1, 2], [10, 0, 3]], np.uint8), np.ones(3))], 1)
