@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import interval_to_seconds, nanos_to_seconds, nanos_to_timestamp
+from .hot import few_groups
 from .median import exact_medians
 
 # Columns filled with their median, columns filled with a label.
@@ -69,13 +70,15 @@ def override_positions(
     """Values from the override table win; rows it does not know keep their own.
 
     Keys compare as strings. A key with several override rows takes the largest,
-    so no lap is repeated. The join carries no hint: a small table broadcasts by
-    its size.
+    so no lap is repeated. Overrides are counted first: few are broadcast and the
+    laps stay where they are, however often the result is read.
     """
     values = F.struct(*[F.col(c).cast("double").alias(f"__o_{c}") for c in columns])
     side = overrides.groupBy(*[F.col(k).cast("string").alias(f"__k_{k}") for k in keys]).agg(F.max(values).alias("__v")).select(
         *[f"__k_{k}" for k in keys], "__v.*"
     )
+    if few_groups(overrides, keys):
+        side = F.broadcast(side)
     on = [F.col(k).cast("string") == F.col(f"__k_{k}") for k in keys]
     present = [c for c in columns if c in df.columns]
     joined = df.join(side, on, "left")

@@ -123,10 +123,11 @@ def running(
     latest: Mapping[str, Column] | None = None,
     hot_rows: int = HOT_ROWS,
     per_range: int = CHUNK_ROWS,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Row number, inclusive running totals, previous values and last known values.
 
-    ``order`` should identify a row. Ordinary groups use one window. In hot groups windows run per (keys, range), and a table
+    ``order`` should identify a row. Where ``df`` is expensive, ``sizes_from`` can name an earlier table with the same groups. Ordinary groups use one window. In hot groups windows run per (keys, range), and a table
     with one row per group and range carries counts, sums and last values from range to range: no task sees a whole group.
     """
     totals, previous, latest = totals or {}, previous or {}, latest or {}
@@ -142,7 +143,7 @@ def running(
     inputs = {**totals, **previous, **latest}
     arrange = [F.asc(c) if isinstance(c, str) else c for c in order]
     whole = upto_here(Window.partitionBy(*keys).orderBy(*arrange), F.lit(1), inputs.__getitem__)
-    rows = _hot_rows(df, keys, hot_rows)
+    rows = _hot_rows(df if sizes_from is None else sizes_from, keys, hot_rows)
     if not rows:
         return df.withColumns(whole)
 

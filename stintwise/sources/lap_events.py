@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import epoch_micros
-from ..operators.hot import join_back
+from ..operators.hot import all_known, join_back
 from ..operators.ordered import running
 
 DRIVER_RACE = ["season", "race_name", "driver"]
@@ -36,7 +36,7 @@ def _races(events: DataFrame) -> DataFrame:
 def laps_from_events(events: DataFrame, stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """The lap table.
 
-    Three later steps read the numbered laps; ``stage`` may write them and
+    Two later steps read the numbered laps; ``stage`` may write them and
     return the written table, so that numbering runs once.
     """
     error = F.col("event_type") == "error"
@@ -63,9 +63,11 @@ def laps_from_events(events: DataFrame, stage: Callable[[DataFrame], DataFrame]
             "stint": (1 + F.col("entries") - pit.isNotNull().cast("int")).cast("int"),
         }
     )
-    laps = stage(laps)
-    starts = laps.groupBy(*DRIVER_RACE, "stint").agg(F.min("lap_number").alias("stint_start"))
-    laps = join_back(laps, starts, [*DRIVER_RACE, "stint"])
+    # A stint starts on the lap after a pit entry; the laps are dealt and in order for that already.
+    opened = F.when(F.col("pit_out_time_seconds").isNotNull(), F.col("lap_number"))
+    laps = running(laps, DRIVER_RACE, ["lap_number"], latest={"stint_start": opened}, sizes_from=base)
+    start = F.when(all_known(DRIVER_RACE), F.coalesce("stint_start", F.lit(1.0)))
+    laps = stage(laps.withColumn("stint_start", start))
     # One row per driver and lap, so at most 20 rows per group.
     field = Window.partitionBy("season", "race_name", "lap_number").orderBy("cum_cents", "driver")
     laps = laps.withColumn("position", F.row_number().over(field).cast("double"))

@@ -3,11 +3,11 @@
 import pytest
 from conftest import SMALL_DIR
 from pyspark.sql import functions as F
-from stintwise.operators import assembly, quality, selection
+from stintwise.operators import assembly, cleaning, quality, selection
 from stintwise.plans import gold, reports, silver, views
 from stintwise.registry.queries import REGISTRY
 from stintwise.registry.workspace import Workspace
-from stintwise.sources import sinks
+from stintwise.sources import lap_events, sinks
 from stintwise.sources.readers import read_raw
 
 
@@ -125,3 +125,32 @@ def test_quality_figures_come_with_the_write(spark, tmp_path):
     assert set(found) == set(whole) and all(found[k] == pytest.approx(v, rel=1e-12) for k, v in whole.items())
     _, none = sinks.write_measured(laps.limit(0), str(tmp_path / "none"))
     assert {r.measure: r.value for r in none.collect() if r.item is None}["row_count"] == 0.0
+
+
+@pytest.fixture
+def no_sizes(spark):
+    """No join is a broadcast one by the size of its side."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_few_overrides_leave_the_laps_where_they_are(spark, no_sizes):
+    laps = spark.createDataFrame([("R1", 4, 1.0, 2.0), ("R1", None, 3.0, 4.0)], "race_name string, driver_number int, grid_position double, final_position double")
+    given = spark.createDataFrame([("R1", "4", 7.0, None), ("R1", "4", 5.0, 6.0)], "race_name string, driver_number string, grid_position double, final_position double")
+    placed = cleaning.override_positions(laps, given)
+    assert sorted(tuple(r)[2:] for r in placed.collect()) == [(3.0, 4.0), (7.0, 2.0)]
+    assert "BroadcastHashJoin" in plan(placed) and "SortMergeJoin" not in plan(placed)
+
+
+def test_stints_start_without_a_join_of_the_laps(spark, no_sizes):
+    """Pit entries on the 2nd and last of five laps; a lap without a driver has no tyre age."""
+    rows = [(i, f"2024-01-01 00:00:0{i}", None if i == 9 else 20, "error" if i in (4, 8) else "click", 1.0 + i) for i in (2, 4, 8, 6, 7, 9)]
+    events = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double")
+    events = events.withColumn("ts", F.to_timestamp("ts")).withColumn("props", F.lit("7"))
+    numbered = []
+    laps = lap_events.laps_from_events(events, lambda df: numbered.append(df) or df)
+    found = {r.event_id: (r.stint, r.tyre_life) for r in laps.collect()}
+    assert found == {2: (1, 1.0), 4: (1, 2.0), 6: (2, 1.0), 7: (2, 2.0), 8: (2, 3.0), 9: (1, None)}
+    text = plan(numbered[0])
+    assert "stint_start" in text and text.count("Exchange") == 1 and "Join" not in text
